@@ -662,7 +662,7 @@ FROM master GROUP BY is_churned
 """)
 
 ORACLES["score_histogram"] = _master("""
-SELECT is_churned, bin, round((bin - 1) * 0.1, 6) AS bin_start, count(*) AS n
+SELECT is_churned, bin, round((bin - 1)::DOUBLE * 0.1, 6) AS bin_start, count(*) AS n
 FROM (SELECT is_churned, CASE WHEN engagement_score = 1.5 THEN 15 WHEN engagement_score > 1.5
                THEN 16 ELSE CAST(floor(engagement_score * 15 / 1.5) AS BIGINT) + 1 END AS bin
       FROM master)
