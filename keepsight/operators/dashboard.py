@@ -49,24 +49,28 @@ def _fills(master: DataFrame) -> dict[str, Column]:
 def dashboard_clean(master: DataFrame) -> DataFrame:
     """Fill missing values for a BI tool; flags become 1/0 and buckets get a sort number.
 
-    Dates become text. Sign-up date, member count and ticket bucket stay as they are.
+    Dates become text. Sign-up date, member count and ticket bucket stay as they are. `master`
+    is read twice (once for the median) and should be stored.
     """
     return master.withColumns(_fills(master))
 
 
-def null_profile(master: DataFrame) -> DataFrame:
-    """Missing values per dashboard column before and after filling, in column order."""
+def _null_counts(master: DataFrame) -> tuple[DataFrame, list[str]]:
+    """One row with the row count and the missing values per column, from a single pass."""
     fills = _fills(master)
     names = [*master.columns, *[c for c in fills if c not in master.columns]]
+    after = {c: fills[c] if c in fills else F.col(c) for c in names}
+    counts = master.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count_if(F.col(c).isNull()).alias(f"b_{c}") for c in master.columns],
+        *[F.count_if(column.isNull()).alias(f"a_{c}") for c, column in after.items()],
+    )
+    return counts, names
 
-    def nulls(column: Column) -> Column:
-        return F.count_if(column.isNull())
 
-    totals = master.agg(
-        *[nulls(F.col(c)).alias(f"b_{c}") for c in master.columns],
-        *[nulls(fills.get(c, F.col(c) if c in master.columns else None)).alias(f"a_{c}")
-          for c in names],
-    )
+def null_profile(master: DataFrame) -> DataFrame:
+    """Missing values per dashboard column before and after filling, in column order."""
+    counts, names = _null_counts(master)
     entries = [
         F.struct(
             F.lit(i).alias("position"),
@@ -78,22 +82,21 @@ def null_profile(master: DataFrame) -> DataFrame:
         )
         for i, c in enumerate(names, start=1)
     ]
-    return totals.select(F.explode(F.array(*entries)).alias("e")).select("e.*").orderBy("position")
+    return counts.select(F.explode(F.array(*entries)).alias("e")).select("e.*").orderBy("position")
 
 
 def null_verdict(master: DataFrame) -> DataFrame:
     """Rows, columns and missing values before and after filling, and whether none is left."""
-    profile = null_profile(master)
-    size = master.agg(F.count(F.lit(1))).scalar()
-    return profile.agg(
-        F.count("nulls_before").alias("columns_before"),
-        F.count("nulls_after").alias("columns_after"),
-        F.sum("nulls_before").alias("nulls_before"),
-        F.sum("nulls_after").alias("nulls_after"),
-    ).select(
-        size.alias("row_count"),
-        "*",
-        (F.col("nulls_after") == 0).alias("zero_nulls"),
+    counts, names = _null_counts(master)
+    before = sum((F.col(f"b_{c}") for c in master.columns), F.lit(0).cast("bigint"))
+    after = sum((F.col(f"a_{c}") for c in names), F.lit(0).cast("bigint"))
+    return counts.select(
+        "row_count",
+        F.lit(len(master.columns)).alias("columns_before"),
+        F.lit(len(names)).alias("columns_after"),
+        before.alias("nulls_before"),
+        after.alias("nulls_after"),
+        (after == 0).alias("zero_nulls"),
     )
 
 

@@ -19,27 +19,42 @@ from keepsight.session import pin
 
 RANGES = 200
 
+# Up to this many groups the cut points (RANGES values each) and offsets (2 * RANGES rows each)
+# are broadcast; beyond it they are joined by shuffle.
+FEW_GROUPS = 1_000
 
-def _with_ranges(df: DataFrame, by: Sequence[str], value: str, ranges: int) -> DataFrame:
-    """Add `_range`: odd for a value equal to a cut point, even for the open gap between two."""
+
+def _small(side: DataFrame, groups: DataFrame) -> DataFrame:
+    """Broadcast a table with a bounded number of rows per group if there are few groups."""
+    few = groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    return F.broadcast(side) if few else side
+
+
+def _with_ranges(
+    df: DataFrame, by: Sequence[str], value: str, weight: Column, ranges: int, totals: list[Column]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their `_range`, and the offsets of all ranges.
+
+    A range is odd for a value equal to a cut point, even for the open gap between two. Offsets
+    hold the rows in the range, in all lower ranges and in the group. `df` should be stored.
+    """
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = pin(
         df.groupBy(*by).agg(
-            F.array_distinct(F.percentile_approx(value, steps, 100 * ranges)).alias("_cuts")
+            F.array_distinct(F.percentile_approx(value, steps, 100 * ranges)).alias("_cuts"),
+            *totals,
         )
     )
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     on_cut = F.array_contains("_cuts", F.col(value)).cast("int")
-    return (
-        match_keys(df, cuts, by, "inner").withColumn("_range", below * 2 + on_cut).drop("_cuts")
+    ranged = (
+        match_keys(df, _small(cuts, cuts), by, "inner")
+        .withColumn("_range", below * 2 + on_cut)
+        .drop("_cuts")
     )
-
-
-def _range_offsets(ranged: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
-    """Rows per range, rows in all lower ranges, rows of the group."""
     group = Window.partitionBy(*by)
     lower = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    offsets = (
         ranged.groupBy(*by, "_range")
         .agg(F.sum(weight).alias("_size"))
         .withColumns(
@@ -49,6 +64,7 @@ def _range_offsets(ranged: DataFrame, by: Sequence[str], weight: Column) -> Data
             }
         )
     )
+    return ranged, _small(offsets, cuts)
 
 
 def rank_within(
@@ -57,15 +73,19 @@ def rank_within(
     value: str,
     name: str,
     descending: bool = False,
+    totals: dict[str, Column] | None = None,
     ranges: int = RANGES,
 ) -> DataFrame:
     """``rank()`` of a non-NULL `value` per group, exact, with the sort split into ranges.
 
     Rows equal to a cut point all have the same rank, so they are spread over salts: a value
-    that a large share of the rows holds is always a cut point.
+    that a large share of the rows holds is always a cut point. `totals` adds aggregates of the
+    group as columns. `df` is read three times and should be stored.
     """
-    ranged = _with_ranges(pin(df), by, value, ranges)
-    offsets = _range_offsets(ranged, by, F.lit(1))
+    totals = totals or {}
+    ranged, offsets = _with_ranges(
+        df, by, value, F.lit(1), ranges, [total.alias(n) for n, total in totals.items()]
+    )
     salt = F.when(F.col("_range") % 2 == 1, F.pmod(F.xxhash64(*df.columns), F.lit(64)))
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy(*by, "_range", "_salt").orderBy(order)
@@ -76,7 +96,7 @@ def rank_within(
         match_keys(ranged, offsets, [*by, "_range"], "inner")
         .withColumn("_salt", salt)
         .withColumn(name, ahead + F.rank().over(inside))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *totals)
     )
 
 
@@ -93,8 +113,7 @@ def running_counts(
     counts: DataFrame, by: Sequence[str], value: str, ranges: int = RANGES
 ) -> DataFrame:
     """Add `before`, the number of rows of the group with a smaller value, to `value_counts`."""
-    ranged = _with_ranges(counts, by, value, ranges)
-    offsets = _range_offsets(ranged, by, F.col("n"))
+    ranged, offsets = _with_ranges(counts, by, value, F.col("n"), ranges, [])
     return _running(match_keys(ranged, offsets, [*by, "_range"], "inner"), by, value).select(
         *counts.columns, "before"
     )
@@ -125,8 +144,7 @@ def quantiles(
     linearly between neighbours; without, it is the element at zero-based index floor(q * n).
     Only the ranges that hold a wanted position are sorted.
     """
-    ranged = _with_ranges(counts, by, value, ranges)
-    offsets = _range_offsets(ranged, by, F.col("n"))
+    ranged, offsets = _with_ranges(counts, by, value, F.col("n"), ranges, [])
 
     def position(q: float) -> Column:
         if interpolate:
@@ -172,8 +190,9 @@ def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     quartiles = quantiles(counts, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     amount = F.col(value).cast("double")
+    few = _small(quartiles, counts.select(group).distinct())
     whiskers = (
-        match_keys(counts.drop("n"), quartiles, [group], "inner")
+        match_keys(counts.drop("n"), few, [group], "inner")
         .groupBy(group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(amount >= F.col("q1") - reach, amount)).alias("_low"),

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from keepsight.functions import as_wall_clock, half_up, month_of, months_before, ratio
 from keepsight.operators.ordered import rank_within
-from keepsight.operators.relational import last_row, match_keys, previous_value
+from keepsight.operators.relational import last_row, previous_value
+from keepsight.session import pin
 
 # Rank of the plan tiers (unknown tiers rank 0) and the alert text.
 TIER_LEVELS = {"free": 1, "starter": 2, "professional": 3, "enterprise": 4}
@@ -112,7 +113,7 @@ def ltv_by_tier(
         .groupBy("customer_id")
         .agg(F.sum("amount_usd").alias("paid_usd"))
     )
-    valued = (
+    valued = pin(
         customers.select("customer_id", "company_name")
         .join(newest, "customer_id")
         .join(paid, "customer_id", "left")
@@ -123,12 +124,16 @@ def ltv_by_tier(
             F.coalesce("paid_usd", F.lit(0)).alias("ltv_usd"),
         )
     )
-    ranked = rank_within(valued, ["plan_tier"], "ltv_usd", "tier_rank", descending=True)
-    tier_mean = ranked.groupBy("plan_tier").agg(
-        ratio(F.sum("ltv_usd"), F.count(F.lit(1))).alias("mean_usd")
+    ranked = rank_within(
+        valued,
+        ["plan_tier"],
+        "ltv_usd",
+        "tier_rank",
+        descending=True,
+        totals={"mean_usd": ratio(F.sum("ltv_usd"), F.count(F.lit(1)))},
     )
     above = ratio(F.col("ltv_usd").cast("double") - F.col("mean_usd"), F.col("mean_usd"))
-    return match_keys(ranked, tier_mean, ["plan_tier"], "inner").select(
+    return ranked.select(
         "plan_tier",
         "tier_rank",
         "customer_id",

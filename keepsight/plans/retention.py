@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from keepsight.operators import cleaning, customers, dashboard, events, hypothesis, ordered
+from keepsight.session import pin
 from keepsight.sources.tables import read_parquet, write_csv, write_table
 
 SCORE_LOW, SCORE_HIGH, SCORE_BINS = 0.0, 1.5, 15
@@ -89,6 +90,11 @@ class RetentionFlow:
             )
         )
 
+    @cached_property
+    def stored_master(self) -> DataFrame:
+        """The master dataset written once, for reports that read it more than once."""
+        return pin(self.master)
+
     @cached_property
     def cleaning_report(self) -> DataFrame:
         parts = (
@@ -133,6 +139,9 @@ MASTER_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "null_verdict": dashboard.null_verdict,
 }
 
+# Reports that read the master dataset more than once; give them a stored one.
+SEVERAL_READS = ("mrr_box_stats", "null_profile", "null_verdict")
+
 
 def run(inputs: Inputs, folder: str) -> None:
     """Write the master dataset once, then every report and the dashboard export from it."""
