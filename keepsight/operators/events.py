@@ -32,6 +32,9 @@ FUNNEL_STEPS = (
 FREQUENCY_WEIGHT, BREADTH_WEIGHT, DEPTH_WEIGHT = 0.40, 0.30, 0.30
 FULL_FEATURES, FULL_SESSION_SEC = 10, 3600
 
+# Longest id list that is sent to every task (8 bytes an id).
+SHORT_LIST = 500_000
+
 
 def first_id(aliases: Sequence[str]) -> Column:
     """First non-NULL alias as a whole number; text that is no whole number becomes NULL."""
@@ -260,14 +263,19 @@ def upsell_targets(
     `gate` = (days, events, features) keeps members that reach any of the three. Normalise the
     events with ``feature_fallback=True`` to count event types as features.
 
-    The list is applied to the member rows, after the events are folded: the events are not
-    shuffled for it, however long the list is.
+    Events are never shuffled for the list: a short one is broadcast to them, a long one is
+    joined to the member rows after the events are folded.
     """
-    members = member_rollup(
-        events.filter(F.col("ts").isNotNull() & F.col("member_id").isNotNull())
-    )
-    if ids is not None:
-        members = members.join(ids.select("customer_id"), "customer_id", "left_semi")
+    complete = events.filter(F.col("ts").isNotNull() & F.col("member_id").isNotNull())
+    if ids is None:
+        members = member_rollup(complete)
+    else:
+        wanted = pin(ids.select("customer_id").distinct())
+        if wanted.limit(SHORT_LIST + 1).count() <= SHORT_LIST:
+            members = member_rollup(complete.join(F.broadcast(wanted), "customer_id", "left_semi"))
+        else:
+            # An inner join on distinct ids, as a semi-join would be moved below the grouping.
+            members = member_rollup(complete).join(wanted, "customer_id")
     if gate is not None:
         days, count, features = gate
         members = members.filter(
@@ -319,7 +327,7 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
 def id_coverage(events: DataFrame, ids: DataFrame) -> DataFrame:
     """How many of the listed customers have any event."""
     seen = events.select("customer_id").distinct()
-    return seen.join(ids.select("customer_id"), "customer_id", "left_semi").agg(
+    return seen.join(ids.select("customer_id").distinct(), "customer_id").agg(
         F.count(F.lit(1)).alias("customers_with_events")
     )
 

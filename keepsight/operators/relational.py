@@ -69,20 +69,19 @@ def previous_value(
 
     `part` is a coarse, non-decreasing function of the order (the month of a date). The lag runs
     inside (key, part), and the first row of a part takes the last value of the key's
-    previous part. So the rows of one key spread over as many tasks as it has parts.
+    previous part. So the rows of one key spread over as many tasks as it has parts. Key and
+    part must not be NULL; then both sides use the one shuffle on (key, part).
     """
-    parted = df.withColumn("_part", part)
     inside = Window.partitionBy(key, "_part").orderBy(*order)
-    rows = parted.withColumns(
-        {"_at": F.row_number().over(inside), "_before": F.lag(value).over(inside)}
+    rows = df.withColumn("_part", part).withColumns(
+        {
+            "_first": F.row_number().over(inside) == 1,
+            "_last": F.lead(F.lit(1)).over(inside).isNull(),
+            "_before": F.lag(value).over(inside),
+        }
     )
-    part_ends = (
-        parted.groupBy(key, "_part")
-        .agg(F.max_by(F.col(value), F.struct(*order)).alias("_end"))
-        .withColumn("_carried", F.lag("_end").over(Window.partitionBy(key).orderBy("_part")))
-        .select(key, "_part", "_carried")
-    )
-    picked = F.when(F.col("_at") == 1, F.col("_carried")).otherwise(F.col("_before"))
-    return match_keys(rows, part_ends, [key, "_part"], "left").select(
-        *df.columns, picked.alias(name)
+    part_ends = rows.filter("_last").select(
+        key, "_part", F.lag(value).over(Window.partitionBy(key).orderBy("_part")).alias("_carried")
     )
+    picked = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
+    return rows.join(part_ends, [key, "_part"], "left").select(*df.columns, picked.alias(name))

@@ -168,7 +168,7 @@ def downgrades_after_tickets(
 
     history = subscriptions.select(
         "customer_id", "subscription_id", "plan_id", F.col("start_date").cast("date")
-    ).filter(F.col("start_date") <= last_day)
+    ).filter(F.col("customer_id").isNotNull() & (F.col("start_date") <= last_day))
     moves = previous_value(
         history,
         "customer_id",
