@@ -5,6 +5,7 @@ from keepsight.functions.text import email_domain, jaccard, strip_whitespace, tr
 from keepsight.functions.times import (
     as_wall_clock,
     days_between,
+    iso_week,
     iso_week_key,
     month_of,
     months_before,
@@ -13,6 +14,6 @@ from keepsight.functions.times import (
 
 __all__ = [
     "as_wall_clock", "capped_share", "days_between", "email_domain", "half_even", "half_up",
-    "iso_week_key", "jaccard", "month_of", "months_before", "normal_upper_tail",
+    "iso_week", "iso_week_key", "jaccard", "month_of", "months_before", "normal_upper_tail",
     "parse_wall_clock", "ratio", "strip_whitespace", "trigrams",
 ]

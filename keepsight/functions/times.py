@@ -7,8 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_DAY = r"^\s*\d{4}-\d{2}-\d{2}([T ].*)?$"
-WITH_OFFSET = r"([Zz]|[+-]\d{2}:?\d{2})\s*$"
+ISO_NAIVE = r"^\s*\d{4}-\d{2}-\d{2}([ T][\d:.]*)?\s*$"
+ISO_ANY = r"^\s*\d{4}-\d{2}-\d{2}[ T]"
 
 
 def as_wall_clock(moment: str | date | datetime) -> Column:
@@ -19,13 +19,14 @@ def as_wall_clock(moment: str | date | datetime) -> Column:
 def parse_wall_clock(text: Column, extra_formats: tuple[str, ...] = ()) -> Column:
     """ISO text to a UTC wall-clock timestamp; anything else becomes NULL.
 
-    Text with an offset is moved to UTC first. `extra_formats` are Spark datetime patterns
-    that are tried, in order, on text that is not ISO.
+    Text with a zone or an offset is moved to UTC first. `extra_formats` are Spark datetime
+    patterns that are tried, in order, on text that is not ISO.
     """
-    has_offset = text.rlike(r"\d{2}:\d{2}.*" + WITH_OFFSET)
-    moved = F.convert_timezone(None, F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
-    iso = F.when(
-        text.rlike(ISO_DAY), F.when(has_offset, moved).otherwise(text.try_cast("timestamp_ntz"))
+    moved = F.convert_timezone(
+        None, F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz")
+    )
+    iso = F.when(text.rlike(ISO_NAIVE), text.try_cast("timestamp_ntz")).when(
+        text.rlike(ISO_ANY), moved
     )
     others = [
         F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz") for pattern in extra_formats
@@ -33,8 +34,13 @@ def parse_wall_clock(text: Column, extra_formats: tuple[str, ...] = ()) -> Colum
     return F.coalesce(iso, *others) if others else iso
 
 
+def iso_week(moment: Column) -> Column:
+    """The Monday that starts the ISO week; one date per ISO year and week."""
+    return F.trunc(moment, "week")
+
+
 def iso_week_key(moment: Column) -> Column:
-    """ISO year and unpadded ISO week, e.g. ``2024-W5``."""
+    """ISO year and unpadded ISO week as text, e.g. ``2024-W5``."""
     return F.concat(
         F.date_part(F.lit("YEAROFWEEK"), moment).cast("string"),
         F.lit("-W"),

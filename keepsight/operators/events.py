@@ -11,7 +11,7 @@ from keepsight.functions import (
     capped_share,
     days_between,
     half_even,
-    iso_week_key,
+    iso_week,
     parse_wall_clock,
     ratio,
 )
@@ -90,7 +90,7 @@ def weekly_sessions(
     )
     weekly = (
         events.filter(complete)
-        .groupBy("customer_id", "member_id", iso_week_key(F.col("ts")).alias("week"))
+        .groupBy("customer_id", "member_id", iso_week(F.col("ts")).alias("week"))
         .agg(
             F.count(F.lit(1)).alias("sessions"),
             F.avg(F.col("session_duration_sec").cast("double")).alias("duration"),

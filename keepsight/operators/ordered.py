@@ -30,6 +30,17 @@ def _small(side: DataFrame, groups: DataFrame) -> DataFrame:
     return F.broadcast(side) if few else side
 
 
+def _count_below(cuts: str, value: str, most: int) -> Column:
+    """How many of the sorted `cuts` are below the value, by halving steps."""
+    steps = [2**bit for bit in reversed(range(most.bit_length()))]
+
+    def advance(position: Column, step: Column) -> Column:
+        reached = F.get(cuts, position + step - 1) < F.col(value)
+        return F.when(reached, position + step).otherwise(position)
+
+    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
+
+
 def _with_ranges(
     df: DataFrame, by: Sequence[str], value: str, weight: Column, ranges: int, totals: list[Column]
 ) -> tuple[DataFrame, DataFrame]:
@@ -45,8 +56,8 @@ def _with_ranges(
             *totals,
         )
     )
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    on_cut = F.array_contains("_cuts", F.col(value)).cast("int")
+    below = _count_below("_cuts", value, ranges)
+    on_cut = F.coalesce(F.get("_cuts", below) == F.col(value), F.lit(False)).cast("int")
     ranged = (
         match_keys(df, _small(cuts, cuts), by, "inner")
         .withColumn("_range", below * 2 + on_cut)

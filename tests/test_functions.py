@@ -39,6 +39,12 @@ def test_time_parsing(table):
         ("01/05/2024", None),
         ("2024", None),
         ("2024-13-05", None),
+        (" 2024-01-05 ", datetime(2024, 1, 5)),
+        ("2024-01-05 10:00:00 Europe/Paris", datetime(2024, 1, 5, 9)),
+        ("2024-01-05x", None),
+        ("2024-01-05 noon", None),
+        ("abcd-ef-gh", None),
+        ("2024-1-5", None),
         ("", None),
         (None, None),
     ]
@@ -67,6 +73,7 @@ def test_weeks_months_and_days(spark):
         spark,
         K.iso_week_key(at("2024-12-30 00:00:00")),
         K.iso_week_key(at("2024-02-01 12:00:00")),
+        K.iso_week(at("2025-01-05 23:00:00")),
         K.months_before(at("2001-08-31 10:00:00"), 6),
         K.month_of(at("2001-08-31 10:00:00")),
         K.days_between(at("2001-08-30 00:00:00"), at("2001-08-31 12:00:00")),
@@ -74,6 +81,7 @@ def test_weeks_months_and_days(spark):
     assert got == (
         "2025-W1",
         "2024-W5",
+        datetime(2024, 12, 30).date(),
         datetime(2001, 2, 28, 10),
         datetime(2001, 8, 1).date(),
         1.5,
