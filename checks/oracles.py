@@ -574,6 +574,14 @@ SELECT table_name, CAST(step_number AS BIGINT) AS step_number, step, rows_before
 FROM filled
 """)
 
+ORACLES["merge_report"] = _master("""
+SELECT 1::BIGINT AS step_number, 'clean customers' AS step, count(*) AS row_count
+FROM tidy_customers
+UNION ALL SELECT 2, 'latest subscriptions', count(*) FROM newest
+UNION ALL SELECT 3, 'customers with tickets', count(*) FROM loads
+UNION ALL SELECT 4, 'customers with activity', count(*) FROM account_use
+UNION ALL SELECT 5, 'master dataset', count(*) FROM master
+""")
 ORACLES["master_dataset"] = _master(f"SELECT {MASTER_OUT} FROM master")
 ORACLES["assign_segments"] = _master(
     "SELECT customer_id, high_ticket, ticket_bucket, segment_label FROM master"

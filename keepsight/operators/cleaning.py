@@ -110,7 +110,7 @@ def ticket_summary(
         .agg(
             F.count("ticket_id").alias("ticket_count"),
             F.avg(F.col("satisfaction_score").cast("double")).alias("avg_satisfaction"),
-            F.sum(F.col("escalated").cast("int")).alias("escalated_count"),
+            F.count_if("escalated").alias("escalated_count"),
         )
     )
 

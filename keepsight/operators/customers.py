@@ -210,6 +210,17 @@ def kpis(master: DataFrame) -> DataFrame:
     )
 
 
+def row_counts(steps: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each step of a flow, in the order given."""
+    counts = None
+    for number, (step, df) in enumerate(steps.items(), start=1):
+        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(number).alias("step_number"), F.lit(step).alias("step"), "row_count"
+        )
+        counts = part if counts is None else counts.unionByName(part)
+    return counts.orderBy("step_number")
+
+
 def engagement_coverage(master: DataFrame) -> DataFrame:
     """Customers with and without any engagement."""
     return master.agg(

@@ -257,9 +257,12 @@ def upsell_targets(
     ids: DataFrame | None = None,
     top: int | None = 20,
     gate: tuple[int, int, int] | None = None,
+    all_if_empty: bool = False,
 ) -> DataFrame:
     """Members with the highest engagement score, optionally only of the customers in `ids`.
 
+    With `all_if_empty` an empty list leaves the filter out, otherwise it selects nobody.
+
     `gate` = (days, events, features) keeps members that reach any of the three. Normalise the
     events with ``feature_fallback=True`` to count event types as features.
 
@@ -271,7 +274,10 @@ def upsell_targets(
         members = member_rollup(complete)
     else:
         wanted = pin(ids.select("customer_id").distinct())
-        if wanted.limit(SHORT_LIST + 1).count() <= SHORT_LIST:
+        length = wanted.limit(SHORT_LIST + 1).count()
+        if length == 0 and all_if_empty:
+            members = member_rollup(complete)
+        elif length <= SHORT_LIST:
             members = member_rollup(complete.join(F.broadcast(wanted), "customer_id", "left_semi"))
         else:
             # An inner join on distinct ids, as a semi-join would be moved below the grouping.

@@ -34,6 +34,15 @@ class Inputs:
     ticket_order: Sequence[str]
 
 
+TICKET_COLUMNS = (
+    "ticket_id", "customer_id", "created_at", "resolved_at", "satisfaction_score", "escalated",
+)
+
+
+def _only(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return df.select(*columns, *[c for c in order if c not in columns])
+
+
 @dataclass(frozen=True)
 class RetentionFlow:
     """The cleaning and merging steps as lazy DataFrames."""
@@ -65,7 +74,10 @@ class RetentionFlow:
 
     @cached_property
     def ticket_summary(self) -> DataFrame:
-        return cleaning.ticket_summary(self.clean_tickets, self.inputs.as_of)
+        # Copies are folded on whole rows, so unused columns are dropped before that.
+        tickets = _only(self.inputs.tickets, TICKET_COLUMNS, self.inputs.ticket_order)
+        clean = cleaning.clean_tickets(tickets, self.inputs.ticket_order)
+        return cleaning.ticket_summary(clean, self.inputs.as_of)
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -95,6 +107,29 @@ class RetentionFlow:
         """The master dataset written once, for reports that read it more than once."""
         return pin(self.master)
 
+    @cached_property
+    def merge_report(self) -> DataFrame:
+        """Rows of every part that is merged, and of the result: one per clean customer."""
+        parts = [
+            pin(part)
+            for part in (
+                self.clean_customers,
+                self.latest_subscriptions,
+                self.ticket_summary,
+                self.customer_engagement,
+            )
+        ]
+        names = (
+            "clean customers",
+            "latest subscriptions",
+            "customers with tickets",
+            "customers with activity",
+        )
+        merged = customers.merge_sources(*parts)
+        return customers.row_counts(
+            {**dict(zip(names, parts, strict=True)), "master dataset": merged}
+        )
+
     @cached_property
     def cleaning_report(self) -> DataFrame:
         parts = (
@@ -152,6 +187,7 @@ def run(inputs: Inputs, folder: str) -> None:
     for name, report in MASTER_REPORTS.items():
         write_table(report(master), f"{folder}/{name}")
     write_table(flow.cleaning_report, f"{folder}/cleaning_report")
+    write_table(flow.merge_report, f"{folder}/merge_report")
     clean = dashboard.dashboard_clean(master)
     write_csv(master, f"{folder}/master_csv")
     write_csv(clean, f"{folder}/dashboard_csv")

@@ -152,6 +152,12 @@ def test_long_id_list_gives_the_same(table, monkeypatch):
     assert rows(events.upsell_targets(df, ids)) == short and short
 
 
+def test_empty_id_list(table):
+    df, none = table([event(1)], EVENTS), table([], "customer_id bigint")
+    assert rows(events.upsell_targets(df, none)) == []
+    assert len(rows(events.upsell_targets(df, none, all_if_empty=True))) == 1
+
+
 def test_activity_by_member(table):
     data = [event(1, 0, secs=10.0), event(2, 1, secs=11.0), event(3, 0, customer=None)]
     got = rows(events.activity_by_member(table(data, EVENTS)))
