@@ -23,6 +23,9 @@ RANGES = 200
 # are broadcast; beyond it they are joined by shuffle.
 FEW_GROUPS = 1_000
 
+# A frequency table of at most this many rows is not cut: one task sorts it at once.
+ONE_TASK_ROWS = 200_000
+
 
 def _small(side: DataFrame, groups: DataFrame) -> DataFrame:
     """Broadcast a table with a bounded number of rows per group if there are few groups."""
@@ -49,10 +52,13 @@ def _with_ranges(
     A range is odd for a value equal to a cut point, even for the open gap between two. Offsets
     hold the rows in the range, in all lower ranges and in the group. `df` should be stored.
     """
+    if not totals and df.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS:
+        ranged = df.withColumn("_range", F.lit(0))
+        return ranged, F.broadcast(_offsets(ranged, by, weight))
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = pin(
         df.groupBy(*by).agg(
-            F.array_distinct(F.percentile_approx(value, steps, 100 * ranges)).alias("_cuts"),
+            F.array_distinct(F.percentile_approx(value, steps, 10 * ranges)).alias("_cuts"),
             *totals,
         )
     )
@@ -63,9 +69,14 @@ def _with_ranges(
         .withColumn("_range", below * 2 + on_cut)
         .drop("_cuts")
     )
+    return ranged, _small(_offsets(ranged, by, weight), cuts)
+
+
+def _offsets(ranged: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
+    """Rows per range, rows in all lower ranges, rows of the group."""
     group = Window.partitionBy(*by)
     lower = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    return (
         ranged.groupBy(*by, "_range")
         .agg(F.sum(weight).alias("_size"))
         .withColumns(
@@ -75,7 +86,6 @@ def _with_ranges(
             }
         )
     )
-    return ranged, _small(offsets, cuts)
 
 
 def rank_within(

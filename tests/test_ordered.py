@@ -10,6 +10,12 @@ from keepsight.session import pin
 from tests.helpers import by_key, rows
 
 
+@pytest.fixture(autouse=True, params=[0, ordered.ONE_TASK_ROWS])
+def one_task_rows(request, monkeypatch):
+    """Run everything with cut ranges and as one range."""
+    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", request.param)
+
+
 @pytest.fixture
 def numbers(table):
     rng = random.Random(7)
