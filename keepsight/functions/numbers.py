@@ -11,6 +11,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def steady_mean(value: Column) -> Column:
+    """Mean of amounts with up to 6 decimal digits, whatever the order of the rows.
+
+    Doubles summed in another order differ in the last digits, which moves a tie when the
+    mean is rounded. The sum is decimal, so it is exact; NaN and infinity are skipped.
+    """
+    exact = value.try_cast("decimal(28,6)")
+    return ratio(F.sum(exact), F.count(exact))
+
+
 def half_up(value: Column, digits: int) -> Column:
     """Rounding of the SQL reports: ties go away from zero."""
     return F.round(value, digits)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepsight.functions import half_even
+from keepsight.functions import half_even, steady_mean
 
 # Bucket labels with the largest ticket count of each, and segment labels.
 TICKET_BUCKETS = (
@@ -143,8 +143,8 @@ def segment_profile(master: DataFrame) -> DataFrame:
     free = F.coalesce(F.col("plan_tier") == "free", F.lit(False))
     means = {
         "churn_rate": _churn_rate(),
-        "avg_engagement": F.avg("engagement_score"),
-        "avg_mrr": F.avg("mrr_usd"),
+        "avg_engagement": steady_mean(F.col("engagement_score")),
+        "avg_mrr": steady_mean(F.col("mrr_usd")),
         "avg_tickets": F.avg("ticket_count"),
         "avg_days_active": F.avg("days_active"),
         "pct_free_tier": F.avg(free.cast("int")),
@@ -182,7 +182,7 @@ def segment_mrr(master: DataFrame) -> DataFrame:
     """Mean MRR per segment to 3 digits, a segment without any MRR at 0, lowest first."""
     return (
         master.groupBy("segment_label")
-        .agg(F.coalesce(half_even(F.avg("mrr_usd"), 3), F.lit(0.0)).alias("avg_mrr"))
+        .agg(F.coalesce(half_even(steady_mean(F.col("mrr_usd")), 3), F.lit(0.0)).alias("avg_mrr"))
         .orderBy("avg_mrr", "segment_label")
     )
 
@@ -193,8 +193,8 @@ def engagement_vs_revenue(master: DataFrame, by: str = "plan_tier") -> DataFrame
         master.groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            F.avg("engagement_score").alias("avg_engagement"),
-            F.avg(F.coalesce(F.col("mrr_usd").cast("double"), F.lit(0.0))).alias("avg_mrr"),
+            steady_mean(F.col("engagement_score")).alias("avg_engagement"),
+            steady_mean(F.coalesce(F.col("mrr_usd"), F.lit(0))).alias("avg_mrr"),
         )
         .orderBy(F.asc_nulls_last(by))
     )
@@ -205,7 +205,7 @@ def kpis(master: DataFrame) -> DataFrame:
     return master.agg(
         F.count(F.lit(1)).alias("customers"),
         _churn_rate().alias("churn_rate"),
-        F.avg(F.coalesce(F.col("mrr_usd").cast("double"), F.lit(0.0))).alias("avg_revenue"),
+        steady_mean(F.coalesce(F.col("mrr_usd"), F.lit(0))).alias("avg_revenue"),
         F.countDistinct("segment_label").alias("segments"),
     )
 

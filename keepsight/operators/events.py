@@ -14,6 +14,7 @@ from keepsight.functions import (
     iso_week,
     parse_wall_clock,
     ratio,
+    steady_mean,
 )
 from keepsight.operators.ordered import quantiles
 from keepsight.operators.relational import match_keys, top_k
@@ -93,7 +94,7 @@ def weekly_sessions(
         .groupBy("customer_id", "member_id", iso_week(F.col("ts")).alias("week"))
         .agg(
             F.count(F.lit(1)).alias("sessions"),
-            F.avg(F.col("session_duration_sec").cast("double")).alias("duration"),
+            steady_mean(F.col("session_duration_sec")).alias("duration"),
         )
     )
     weeks = F.size("durations")
@@ -232,7 +233,7 @@ def member_rollup(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_events"),
         F.countDistinct(F.to_date("ts")).alias("days_active"),
         F.countDistinct("feature").alias("feature_count"),
-        F.avg(F.col("session_duration_sec").cast("double")).alias("avg_session_sec"),
+        steady_mean(F.col("session_duration_sec")).alias("avg_session_sec"),
         F.min("ts").alias("first_seen"),
         F.max("ts").alias("last_seen"),
     )

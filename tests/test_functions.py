@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import datetime
 
@@ -25,6 +26,14 @@ def test_rounding_and_ratio(spark):
     assert got == (3.0, 2.0, 0.13, 0.12, None, 0.25)
 
 
+def test_steady_mean_of_ties(table):
+    # as doubles, 0.1 + 0.2 + ... depends on the order; the exact mean is 0.25
+    df = table([(0.1,), (0.2,), (0.3,), (0.4,), (math.nan,), (None,)], "v double")
+    means = [df.orderBy(o).agg(K.steady_mean(F.col("v"))).first()[0] for o in ("v", F.desc("v"))]
+    assert means == [0.25, 0.25]
+    assert table([], "v double").agg(K.steady_mean(F.col("v"))).first()[0] is None
+
+
 def test_normal_tail(spark):
     got = values(spark, *[K.normal_upper_tail(F.lit(z)) for z in (0.0, 1.644854, -1.644854, 5.0)])
     assert got == pytest.approx((0.5, 0.05, 0.95, 2.8665e-7), abs=2e-7)

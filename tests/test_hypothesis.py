@@ -20,7 +20,7 @@ def test_u_counts_pairs(table, seed):
     rng = random.Random(seed)
     data = [(rng.random() < 0.4, rng.randint(0, 6)) for _ in range(60)]
     high, low = ([v for g, v in data if g is side] for side in (True, False))
-    (n1, n2, u, z, p, _), = rows(mann_whitney(table(data, "g boolean, v int"), "v", "g"))
+    ((n1, n2, u, z, p, _),) = rows(mann_whitney(table(data, "g boolean, v int"), "v", "g"))
     assert (n1, n2, u) == (len(high), len(low), wins(high, low))
     flipped = table([(not g, v) for g, v in data], "g boolean, v int")
     assert rows(mann_whitney(flipped, "v", "g"))[0][2] == n1 * n2 - u
@@ -30,7 +30,7 @@ def test_u_counts_pairs(table, seed):
 def test_worked_example(table):
     # values 1 1 | 0 0 1: U = 2 * (1 + 1 + 0.5), ties of 2 and 3
     data = [(True, 1), (True, 1), (False, 0), (False, 0), (False, 1)]
-    (_, _, u, z, _, reject), = rows(mann_whitney(table(data, "g boolean, v int"), "v", "g"))
+    ((_, _, u, z, _, reject),) = rows(mann_whitney(table(data, "g boolean, v int"), "v", "g"))
     sigma = math.sqrt(2 * 3 / 12 * (6 - (6 + 24) / 20))
     assert u == 5.0
     assert z == pytest.approx((5 - 3 - 0.5) / sigma)
