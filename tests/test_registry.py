@@ -16,12 +16,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(registry.queries()) - set(registry.oracle_sql())
+    missing = set(registry.customer_queries()) - set(registry.oracle_sql())
     assert missing == {"sample_rows"}  # rows without an order
     assert not set(registry.oracle_sql()) - set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.customer_queries()))
 def test_query(spark, con, name):
     df = registry.queries()[name](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
