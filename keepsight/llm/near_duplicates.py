@@ -9,10 +9,13 @@ bucket. At similarity 0.85 a pair exceeds the distance of 11 in 24 with probabil
 3e-5.
 
 Equal sets are folded to one class first. Buckets are not expanded into pairs: in a first
-round every class meets the least and the greatest class of each of its buckets, links are
-confirmed on full sets, and components are formed. Only classes of one bucket that are in
-different components meet in the second round, under the signature distance, and are
-confirmed likewise. So every link between components is found.
+round every class meets the least and the most central class of each of its buckets, links are
+confirmed on full sets, and components are formed. In the second round only classes of buckets
+that hold several components take part. Two of them meet if they share a shingle among the
+rarest of each, at places that leave room for a link (the shingles before the first common one
+can't be common), are in different components and under the signature distance; they are
+confirmed likewise. Both conditions are necessary for a link, so no link between components
+that the signatures promise is lost.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ SYMBOL_BITS = 16
 #: Characters whose shingles are made at a time.
 CHUNK_CHARS = 1_000_000
 COLUMNS_AT_A_TIME = 4096
+#: Shingles are ranked by counts of this many leading bits of their hashes, then by hash.
+COUNT_BITS = 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _RANDOM.integers(1, 2**63, size=(SYMBOLS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -142,12 +147,9 @@ def _distance(a: str, b: str) -> Column:
     return sum(wrong[1:], wrong[0])
 
 
-def _confirmed(
-    pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int
-) -> DataFrame:
-    """The pairs (`a`, `b`) of classes whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stored(wanted.join(classes, "node").select("node", "doc_id"), "wanted")
+def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """Full sets of the classes named in `nodes` (`node`, distinct)."""
+    wanted = stored(nodes.join(classes, "node").select("node", "doc_id"), "wanted")
     ids = wanted.select("doc_id").where("doc_id is not null")
     texts = docs.join(ids, "doc_id", "left_semi").union(docs.where("doc_id is null"))
     sets = (
@@ -155,6 +157,11 @@ def _confirmed(
         .join(wanted.select("node"), "node", "left_semi")
         .dropDuplicates(["node"])
     )
+    return stored(sets, "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (`a`, `b`) of classes whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -177,34 +184,101 @@ def _near(pairs: DataFrame, symbols: DataFrame) -> DataFrame:
     return stored(near.select("a", "b"), "pairs")
 
 
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """Rows `key`, `node`, `copies`, `size` of buckets with several classes."""
+    buckets = classes.select(_keys(), "node", "copies")
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    return stored(buckets.join(sizes.where("size > 1"), "key"), "buckets")
+
+
 def _star_pairs(buckets: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's least and greatest class."""
-    ends = buckets.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-    met = buckets.join(ends.where("a != z"), "key")
-    first = met.where("node != a").select("a", F.col("node").alias("b"))
-    last = met.where("node != z and node != a").select(F.col("node").alias("a"), F.col("z").alias("b"))
-    return first.union(last)
+    """Each member of a bucket with the bucket's least class and its most central one.
 
+    Central is the class whose buckets are largest in sum, with more copies if several are: in a
+    group of varied copies of one text that is a text which agrees with most of them.
+    """
+    weights = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = buckets.join(weights, "node")
+    heads = weighed.groupBy("key").agg(
+        F.min("node").alias("a"), F.max(F.struct("weight", "copies", "node"))["node"].alias("z")
+    )
+    met = buckets.join(heads, "key")
+    ends = F.explode(F.array_distinct(F.array("a", "z"))).alias("head")
+    pairs = met.select("node", ends).where("node != head")
+    return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
 
-def _cross_pairs(buckets: DataFrame, labels: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Pairs of one bucket, of different components, under the signature distance."""
+
+def _open_classes(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Classes of buckets that hold several components, with their component."""
     named = buckets.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label")
     )
     mixed = named.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q"))
-    open_ = stored(
-        named.join(mixed.where("p != q").select("key"), "key", "left_semi").join(symbols, "node"),
-        "open",
+    found = named.join(mixed.where("p != q").select("key"), "key", "left_semi")
+    return stored(found.select("node", "label").distinct(), "open")
+
+
+def _places(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for batch in batches:
+        values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+        counts += np.bincount(_places(values), minlength=len(counts))
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["place", "n"])
+
+
+def _rarest(counts: np.ndarray, percent: int):
+    """The first shingles by rarity of each set: as many as a link can't be without."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                some = batch.slice(start, 200)
+                rare = []
+                for values in some.column(1):
+                    own = values.values.to_numpy(zero_copy_only=False)
+                    ranked = own[np.lexsort((own, counts[_places(own)]))]
+                    rare.append(ranked[: len(own) - (percent * len(own) + 99) // 100 + 1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column(0),
+                        pa.array([len(x) for x in some.column(1)], pa.int32()),
+                        pa.array(rare, pa.list_(pa.int64())),
+                    ],
+                    names=["node", "n", "rare"],
+                )
+
+    return task
+
+
+def _cross_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a rare shingle where a link is possible."""
+    counted = sets.select("shingles").mapInArrow(_count_task, "place bigint, n bigint")
+    found = counted.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    rows = (
+        sets.mapInArrow(_rarest(counts, percent), "node binary, n int, rare array<bigint>")
+        .join(open_, "node")
+        .select("node", "label", "n", F.posexplode("rare").alias("place", "shingle"))
+        .select("shingle", "node", "label", "n", (F.col("n") - F.col("place")).alias("room"))
     )
-    left = open_.select("key", F.col("node").alias("a"), F.col("label").alias("p"), F.col("symbols").alias("x"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("label").alias("q"), F.col("symbols").alias("y"))
-    meet = (
-        (left["key"] == right["key"])
-        & (F.col("a") < F.col("b"))
-        & (F.col("p") != F.col("q"))
-        & (_distance("x", "y") < 2 * BANDS)
+    left = rows.select("shingle", *[F.col(c).alias(f"a_{c}") for c in rows.columns[1:]])
+    right = rows.select("shingle", *[F.col(c).alias(f"b_{c}") for c in rows.columns[1:]])
+    possible = (
+        (F.col("a_node") < F.col("b_node"))
+        & (F.col("a_label") != F.col("b_label"))
+        & (
+            (100 + percent) * F.least("a_room", "b_room")
+            >= percent * (F.col("a_n") + F.col("b_n"))
+        )
     )
-    return stored(left.join(right, meet).select("a", "b").distinct(), "pairs")
+    pairs = left.join(right, (left["shingle"] == right["shingle"]) & possible)
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def near_duplicates(
@@ -239,15 +313,22 @@ def near_duplicates(
     )
     some = signed.where("n_shingles > 0")
     classes = stored(
-        some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("symbols").alias("symbols")),
+        some.groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"),
+            F.min("symbols").alias("symbols"),
+            F.count(F.lit(1)).alias("copies"),
+        ),
         "classes",
     )
     symbols, names = classes.select("node", "symbols"), classes.select("node", "doc_id")
-    buckets = classes.select(_keys(), "node")
+    buckets = _shared_buckets(classes)
     pairs = _near(_star_pairs(buckets), symbols)
-    links = _confirmed(pairs, docs, names, size, percent)
-    cross = _cross_pairs(buckets, components(links), symbols)
-    links = links.union(_confirmed(cross, docs, names, size, percent))
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    links = _confirmed(pairs, _sets(nodes, docs, names, size), percent)
+    open_ = _open_classes(buckets, components(links))
+    sets = _sets(open_.select("node"), docs, names, size)
+    pairs = _near(_cross_pairs(open_, sets, percent), symbols)
+    links = links.union(_confirmed(pairs, sets, percent))
     joined = components(links).join(names, "node", "right").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")
     )
