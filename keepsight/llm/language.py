@@ -19,21 +19,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keepsight.llm.store import python_path, remainder, stored, whole_row
+from keepsight.llm.store import python_path, remainder, remembered, stored, whole_row
 
 #: Documents of each language that are learnt from, about, at most.
-SAMPLE_DOCUMENTS = 4000
+SAMPLE_DOCUMENTS = 1500
 #: Words, and n-grams of each length, that are kept of each language, at most.
 KNOWN_WORDS = 20_000
 KNOWN_GRAMS = 5_000
 LONGEST = 4
 UNKNOWN = "und"
 #: Words a counting task holds, and tokens a scoring worker remembers, at most.
-HELD_WORDS = 300_000
-CHUNK_CHARS = 1_000_000
+HELD_WORDS = 150_000
+CHUNK_CHARS = 500_000
 
 _RUNS = re.compile(r"[^\W\d_]+")
-_READERS: dict[str, Reader] = {}
 
 
 def letter_words(token: str) -> list[str]:
@@ -132,13 +131,6 @@ class Reader:
         self.model = model
         self._forget()
 
-    @classmethod
-    def of(cls, key: str, pickled: bytes) -> Reader:
-        if key not in _READERS:
-            _READERS.clear()
-            _READERS[key] = cls(pickle.loads(pickled))
-        return _READERS[key]
-
     def _forget(self) -> None:
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1, len(self.model.langs)))
@@ -186,7 +178,7 @@ class Reader:
 
 def _predict_task(key: str, pickled: bytes):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader.of(key, pickled)
+        reader = remembered(f"languages {key}", lambda: Reader(pickle.loads(pickled)))
         for batch in batches:
             start = size = 0
             texts: list[str] = []

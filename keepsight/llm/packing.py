@@ -25,18 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from keepsight.llm.store import python_path
+from keepsight.llm.store import python_path, remembered
 
 CAPACITY = 4096
 CLASSES = 64
 END_ID = 2
 #: Words whose ids one worker remembers; beyond it the memory starts anew.
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 250_000
 #: Characters that are tokenised at a time.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 _CORE_AND_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?]+)", re.ASCII)
-_ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
@@ -53,12 +52,6 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    @classmethod
-    def of(cls, path: str) -> WordEncoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
-
     def _learn(self, parts: list[str]) -> None:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         for part, ids in zip(parts, found, strict=True):
@@ -152,16 +145,20 @@ class Bins:
         return done
 
 
-def _chunks(ids: list, texts: list[str | None]) -> Iterator[tuple[list, list[str]]]:
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
     """Rows in groups of a bounded number of characters (one text at least)."""
-    start = size = 0
-    for at, text in enumerate(texts):
-        size += len(text or "")
+    ids: list = []
+    texts: list[str] = []
+    size = 0
+    for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+        ids.append(doc.as_py())
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
         if size >= CHUNK_CHARS:
-            yield ids[start : at + 1], [text or "" for text in texts[start : at + 1]]
-            start, size = at + 1, 0
-    if start < len(ids):
-        yield ids[start:], [text or "" for text in texts[start:]]
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def _packer(
@@ -180,11 +177,10 @@ def _packer(
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder.of(path)
+        encoder = remembered(f"word ids {path}", lambda: WordEncoder(path))
         bins = Bins(TaskContext.get().partitionId() << 32, capacity, classes)
         for rows in batches:
-            docs, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
-            for some, chunk in _chunks(docs, texts):
+            for some, chunk in _chunks(rows):
                 for doc, ids in zip(some, encoder.encode(chunk), strict=True):
                     bins.add(doc, ids + end)
                 if bins.done:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,18 @@ def python_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+#: What this Python worker keeps between tasks; one operator's memory at a time.
+_MEMORY: dict[str, object] = {}
+
+
+def remembered(key: str, make: Callable[[], object]) -> object:
+    """The object of `key` that an earlier task on this worker made, or a new one."""
+    if key not in _MEMORY:
+        _MEMORY.clear()
+        _MEMORY[key] = make()
+    return _MEMORY[key]
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for NULL."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepsight.llm.recurrent import BUCKETS, WORD_SIZE, Network, gram_buckets
-from keepsight.llm.store import python_path, remainder, whole_row
+from keepsight.llm.store import python_path, remainder, remembered, whole_row
 
 #: Documents that are sampled of each label, at most, and the longest that may be sampled.
 SAMPLE_DOCUMENTS = 2000
@@ -33,14 +33,12 @@ STRIDE = 18
 ROUNDS = 2
 EPOCHS = 4
 #: Words whose gates a worker remembers; beyond it the memory starts anew.
-MEMORY_WORDS = 300_000
-CHUNK_CHARS = 1_000_000
+MEMORY_WORDS = 100_000
+CHUNK_CHARS = 500_000
 WINDOWS_AT_A_TIME = 2048
 
 _MARKS = string.punctuation.encode()
 
-_SCORERS: dict[str, Scorer] = {}
-
 
 def split(text: str | None) -> list[bytes]:
     """Words in lower case, without the marks around them unless they are nothing else."""
@@ -62,13 +60,6 @@ class Scorer:
         self.network = network
         self._forget()
 
-    @classmethod
-    def of(cls, key: str, pickled: bytes) -> Scorer:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = cls(pickle.loads(pickled))
-        return _SCORERS[key]
-
     def _forget(self) -> None:
         self.rows: dict[bytes, int] = {}
         self.table = np.concatenate([self.network.padding()] * 1024)
@@ -216,7 +207,7 @@ def _cut(logits: np.ndarray, labels: np.ndarray, weights: tuple[float, float]) -
 
 def _task(key: str, pickled: bytes):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer.of(key, pickled)
+        scorer = remembered(f"network {key}", lambda: Scorer(pickle.loads(pickled)))
         for batch in batches:
             start = size = 0
             texts: list[list[bytes]] = []
