@@ -524,6 +524,11 @@ hits AS (SELECT * FROM user_activity_logs
 SELECT event_id, customer_id_snake, customer_id_camel, event_type FROM hits
 """)
 
+ORACLES["sample_rows"] = _sql(LOG, """
+first_rows AS (SELECT * FROM user_activity_logs ORDER BY event_id LIMIT 5)
+SELECT customer_id_snake, customer_id_camel FROM first_rows
+""")
+
 ORACLES["event_count"] = "SELECT count(*) AS documents FROM events"
 
 # ---------------------------------------------------------------- cleaning and master

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keepsight.functions import (
     capped_share,
@@ -37,9 +38,20 @@ FULL_FEATURES, FULL_SESSION_SEC = 10, 3600
 SHORT_LIST = 500_000
 
 
-def first_id(aliases: Sequence[str]) -> Column:
-    """First non-NULL alias as a whole number; text that is no whole number becomes NULL."""
-    return F.coalesce(*[F.col(c).cast("string") for c in aliases]).try_cast("bigint")
+def first_id(df: DataFrame, aliases: Sequence[str]) -> Column:
+    """First non-NULL alias as a whole number.
+
+    Numbers are taken by value, without their fraction; text that is no whole number becomes NULL.
+    """
+    kinds = {field.name: field.dataType for field in df.schema}
+
+    def text(name: str) -> Column:
+        value = F.col(name)
+        if isinstance(kinds[name], (T.DoubleType, T.FloatType, T.DecimalType)):
+            value = value.try_cast("bigint")
+        return value.cast("string")
+
+    return F.coalesce(*map(text, aliases)).try_cast("bigint")
 
 
 def normalize_events(
@@ -58,9 +70,9 @@ def normalize_events(
     """
     added: dict[str, Column] = {}
     if customer_aliases:
-        added["customer_id"] = first_id(customer_aliases)
+        added["customer_id"] = first_id(df, customer_aliases)
     if member_aliases:
-        added["member_id"] = first_id(member_aliases)
+        added["member_id"] = first_id(df, member_aliases)
     times = []
     if native_time:
         times.append(F.col(native_time).cast("timestamp_ntz"))
@@ -363,6 +375,8 @@ def events_of(
     return df.filter(match)
 
 
-def sample_rows(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
-    """Any `n` rows, to look at the raw fields."""
-    return df.select(*columns).limit(n)
+def sample_rows(
+    df: DataFrame, columns: Sequence[str], n: int = 5, order: Sequence[str] = ()
+) -> DataFrame:
+    """The first `n` rows by `order` (by the columns themselves if not given)."""
+    return top_k(df, n, *(order or columns)).select(*columns)

@@ -25,17 +25,29 @@ def _one_row(df: DataFrame, keys: Sequence[str], pick: Column, count_as: str | N
 def first_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count_as: str | None = None
 ) -> DataFrame:
-    """The row with the smallest `order` (NULL first) per key; optionally the number of copies."""
-    row = F.struct(*[c for c in df.columns if c not in keys])
-    return _one_row(df, keys, F.min_by(row, F.struct(*order)), count_as)
+    """The row with the smallest `order` (NULL first) per key; optionally the number of copies.
+
+    Ties go to the row whose other columns are smaller, so the result is the same for any
+    partitioning.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    return _one_row(df, keys, F.min_by(F.struct(*rest), _total(order, rest)), count_as)
 
 
 def last_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count_as: str | None = None
 ) -> DataFrame:
-    """The row with the largest `order` per key; a NULL loses against any value."""
-    row = F.struct(*[c for c in df.columns if c not in keys])
-    return _one_row(df, keys, F.max_by(row, F.struct(*order)), count_as)
+    """The row with the largest `order` per key; a NULL loses against any value.
+
+    Ties go to the row whose other columns are larger.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    return _one_row(df, keys, F.max_by(F.struct(*rest), _total(order, rest)), count_as)
+
+
+def _total(order: Sequence[str], rest: Sequence[str]) -> Column:
+    """`order`, then all other columns."""
+    return F.struct(*order, *[c for c in rest if c not in order])
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:

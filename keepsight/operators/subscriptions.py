@@ -355,7 +355,7 @@ def id_arrays(ids: DataFrame, chunk: int = 10_000) -> DataFrame:
     """
     return (
         ids.filter(F.col("customer_id").isNotNull())
-        .groupBy(F.floor(F.col("customer_id") / chunk).alias("chunk"))
+        .groupBy(F.expr(f"(customer_id - pmod(customer_id, {chunk})) div {chunk}").alias("chunk"))
         .agg(F.sort_array(F.collect_set("customer_id")).alias("customer_ids"))
         .orderBy("chunk")
     )

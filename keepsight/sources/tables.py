@@ -105,7 +105,9 @@ def document_fields(docs: DataFrame, fields: Mapping[str, str]) -> DataFrame:
 
 
 def _first_present(fields: Sequence[str]) -> Column:
-    return F.coalesce(*[_path(f, "string") for f in fields]).try_cast("bigint")
+    """First field that is there, plain or in the typed form of an exported number."""
+    forms = [f"{f}{form}" for f in fields for form in (".$numberInt", ".$numberLong", "")]
+    return F.coalesce(*[_path(f, "string") for f in forms]).try_cast("bigint")
 
 
 def _document_time() -> Column:

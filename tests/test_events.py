@@ -202,3 +202,9 @@ def test_score_caps(table):
     )
     got = rows(df.select(events.engagement_score(F.col("secs"))))
     assert got == [(1.0,), (0.4,)]
+
+
+def test_ids_are_taken_by_value(table):
+    df = table([(7.0, "8"), (7.5, None), (None, "8"), (None, "8.5")], "c1 double, c2 string")
+    found = events.normalize_events(df, ["c1", "c2"])
+    assert sorted(r.customer_id or 0 for r in found.collect()) == [0, 7, 7, 8]

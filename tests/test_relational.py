@@ -57,3 +57,11 @@ def test_previous_value_equals_one_window(table):
     got = previous_value(df, "k", F.floor(F.col("d") / 7), ["d", "id"], "v", "prev")
     plain = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("d", "id")))
     assert sorted(rows(got), key=str) == sorted(rows(plain), key=str)
+
+
+def test_ties_do_not_depend_on_partitions(table):
+    df = table([(1, 5, "x"), (1, 5, "y"), (1, 5, None)], "k int, o int, v string")
+    for parts in (1, 3):
+        dealt = df.repartition(parts, "v")
+        assert rows(first_row(dealt, ["k"], ["o"]), "v") == [(None,)]
+        assert rows(last_row(dealt, ["k"], ["o"]), "v") == [("y",)]
