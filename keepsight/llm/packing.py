@@ -14,8 +14,10 @@ need no padding.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,8 +32,10 @@ from keepsight.llm.store import python_path, remembered
 CAPACITY = 4096
 CLASSES = 64
 END_ID = 2
-#: Words whose ids one worker remembers; beyond it the memory starts anew.
-MEMORY_WORDS = 250_000
+#: Words whose ids one worker remembers (some 200 bytes each); beyond it the memory starts anew.
+MEMORY_WORDS = 1_000_000
+#: Longer words are tokenised each time, so the memory's size is bounded.
+REMEMBERED_CHARS = 48
 #: Characters that are tokenised at a time.
 CHUNK_CHARS = 1_000_000
 
@@ -49,35 +53,46 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark runs a task per core already; more threads in each only wait for one another.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, parts: list[str]) -> None:
+    def _ids(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        for part, ids in zip(parts, found, strict=True):
-            self.known[part] = np.asarray(ids.ids, dtype="<u4").tobytes()
-
-    def _prepare(self, new: set[str]) -> None:
-        pairs = {word: m.groups() for word in new if (m := _CORE_AND_MARKS.fullmatch(word))}
-        parts = {part for pair in pairs.values() for part in pair} | (new - pairs.keys())
-        lower = {part: part.lower() for part in parts if part.isascii() and part.isalpha()}
-        wanted = {lower.get(part, part) for part in parts}
-        self._learn(sorted(wanted - self.known.keys()))
-        for part in parts - self.known.keys():
-            self.known[part] = self.known[lower[part]]
-        for word, (core, marks) in pairs.items():
-            self.known[word] = self.known[core] + self.known[marks]
+        return [array("I", ids.ids).tobytes() for ids in found]
+
+    def _learn(self, new: set[str]) -> None:
+        known = self.known
+        pairs = [(word, *m.groups()) for word in new if (m := _CORE_AND_MARKS.fullmatch(word))]
+        parts = new.difference(pair[0] for pair in pairs)
+        for _, *pair in pairs:
+            parts.update(pair)
+        parts = parts.difference(known)
+        lower = [(p, p.lower()) for p in parts if p.isascii() and p.isalpha() and not p.islower()]
+        wanted = parts.difference(pair[0] for pair in lower)
+        wanted.update(small for _, small in lower if small not in known)
+        plain = list(wanted)
+        known.update(zip(plain, self._ids(plain), strict=True))
+        known.update((part, known[small]) for part, small in lower)
+        known.update((word, known[core] + known[marks]) for word, core, marks in pairs)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = {word for text in split for word in text} - self.known.keys()
+        words = set().union(*split)
+        new = words.difference(self.known)
         if len(self.known) + len(new) > MEMORY_WORDS:
             self.known.clear()
-            new = {word for text in split for word in text}
-        self._prepare(new)
+            new = words
+        long = [word for word in new if len(word) > REMEMBERED_CHARS]
+        self._learn(new.difference(long))
+        self.known.update(zip(long, self._ids(long), strict=True))
         get = self.known.__getitem__
-        return [b"".join(map(get, text)) for text in split]
+        out = [b"".join(map(get, text)) for text in split]
+        for word in long:
+            del self.known[word]
+        return out
 
 
 def class_lengths(capacity: int = CAPACITY, classes: int = CLASSES) -> np.ndarray:
