@@ -39,7 +39,12 @@ REMEMBERED_CHARS = 48
 #: Characters that are tokenised at a time.
 CHUNK_CHARS = 1_000_000
 
-_CORE_AND_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?]+)", re.ASCII)
+#: Letters whose lower case is one letter again; words of them stay one unit of the tokenizer.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_WORD = re.compile(_LETTERS)
+_CORE_AND_MARKS = re.compile(f"({_LETTERS})([.,;:!?]+)")
+#: Words that are tokenised as one text.
+TOGETHER = 2000
 
 
 class WordEncoder:
@@ -57,11 +62,28 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _ids(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [array("I", ids.ids).tobytes() for ids in found]
 
+    def _word_ids(self, words: list[str]) -> Iterator[bytes]:
+        """`_ids` of words of letters, many in one text that is cut after each word's end."""
+        for first in range(0, len(words), TOGETHER):
+            some = words[first : first + TOGETHER]
+            ids = np.array(
+                self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4"
+            )
+            ends = (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
+            if len(ends) != len(some):
+                yield from self._ids(some)
+                continue
+            raw = ids.tobytes()
+            yield from map(raw.__getitem__, map(slice, [0, *ends], ends))
+
     def _learn(self, new: set[str]) -> None:
         known = self.known
         pairs = [(word, *m.groups()) for word in new if (m := _CORE_AND_MARKS.fullmatch(word))]
@@ -69,12 +91,13 @@ class WordEncoder:
         for _, *pair in pairs:
             parts.update(pair)
         parts = parts.difference(known)
-        lower = [(p, p.lower()) for p in parts if p.isascii() and p.isalpha() and not p.islower()]
-        wanted = parts.difference(pair[0] for pair in lower)
-        wanted.update(small for _, small in lower if small not in known)
-        plain = list(wanted)
-        known.update(zip(plain, self._ids(plain), strict=True))
-        known.update((part, known[small]) for part, small in lower)
+        letters = [part for part in parts if _WORD.fullmatch(part)]
+        other = list(parts.difference(letters))
+        known.update(zip(other, self._ids(other), strict=True))
+        lower = [word.lower() for word in letters]
+        small = list(set(lower).difference(known))
+        known.update(zip(small, self._word_ids(small), strict=True))
+        known.update(zip(letters, map(known.__getitem__, lower), strict=True))
         known.update((word, known[core] + known[marks]) for word, core, marks in pairs)
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -8,11 +8,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from keepsight.llm import ppm, toxicity
+from keepsight.llm import packing, ppm, toxicity
 from keepsight.llm.language import identify_language
 from keepsight.llm.mixing import mix, mix_report
 from keepsight.llm.near_duplicates import near_duplicates
-from keepsight.llm.packing import class_lengths, pack
+from keepsight.llm.packing import WordEncoder, class_lengths, pack
 from keepsight.llm.quality import judge_quality
 from keepsight.llm.queries import vocabulary_path
 from keepsight.llm.recurrent import Network
@@ -398,3 +398,18 @@ def test_mixing_odd_rows(documents):
     blank = mix_report(documents([(1, None, "en", "a"), (2, " ", "en", None)])).collect()
     assert [(r.target, r.taken) for r in blank] == [(0.0, 0)] * 2
     assert mix_report(documents([])).count() == 0
+
+
+def test_word_encoder_agrees_with_the_tokenizer():
+    encoder = WordEncoder(vocabulary_path())
+    texts = [
+        "", " ", "Don't!! I'LL go's", "İ H̱ ẞ ß Straße ÀÉ.,; ́x", "a\r\n\tfoo bar",
+        "<|endoftext|> x<|startoftext|>. B", "a" * 5000 + "! b", "b!! " * 90, "42 4.5 a1 ÿ× ªº µ",
+    ]
+    texts.append(" ".join(f"{a}{b}{c}" for a in "aÄé" for b in "xyZñ" for c in "klmo") * 40)
+    for _ in range(2):
+        got = encoder.encode(texts)
+        for text, ids in zip(texts, got, strict=True):
+            plain = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == plain
+    assert max(map(len, encoder.known)) <= packing.REMEMBERED_CHARS
