@@ -48,7 +48,7 @@ round_even(0.4 * days / greatest(1.0, epoch_us(seen_to - seen_from) / 86400e6)
 def _members(feature: str, where: str) -> str:
     return f"""
       SELECT cid, mid, count(*) AS n, count(DISTINCT CAST(tick AS DATE)) AS days,
-             count(DISTINCT {feature}) AS feats, avg(secs::DECIMAL(28,6)) AS secs,
+             count(DISTINCT {feature}) AS feats, avg(secs) AS secs,
              min(tick) AS seen_from, max(tick) AS seen_to
       FROM ev WHERE tick IS NOT NULL AND mid IS NOT NULL AND {where}
       GROUP BY cid, mid"""
@@ -396,9 +396,18 @@ names AS (SELECT concat_ws(',', if(customer_id_snake IS NULL, NULL, 'customer_id
 SELECT present_fields, count(*) AS documents FROM names GROUP BY ALL
 """)
 
+ORACLES["event_cleaning_report"] = _sql(LOG, f"""{EVENTS}
+SELECT 'events' AS step, count(*) AS rows FROM ev
+UNION ALL SELECT 'customer_id missing or invalid', count(*) FROM ev WHERE cid IS NULL
+UNION ALL SELECT 'member_id missing or invalid', count(*) FROM ev WHERE mid IS NULL
+UNION ALL SELECT 'ts missing or invalid', count(*) FROM ev WHERE tick IS NULL
+UNION ALL SELECT 'complete', count(*) FROM ev
+  WHERE cid IS NOT NULL AND mid IS NOT NULL AND tick IS NOT NULL
+""")
+
 ORACLES["weekly_sessions"] = _sql(LOG, f"""{EVENTS},
 weeks AS (SELECT cid, mid, isoyear(tick) AS y, week(tick) AS w, count(*) AS c,
-                 avg(secs::DECIMAL(28,6)) AS s
+                 avg(secs) AS s
           FROM ev WHERE tick IS NOT NULL AND cid IS NOT NULL AND mid IS NOT NULL GROUP BY ALL),
 placed AS (SELECT *, count(*) OVER (PARTITION BY cid, mid) AS n, row_number() OVER (
              PARTITION BY cid, mid ORDER BY s NULLS FIRST) - 1 AS i FROM weeks),
@@ -663,8 +672,8 @@ FROM master WHERE ticket_bucket IS NOT NULL GROUP BY ticket_bucket
 
 ORACLES["segment_profile"] = _master("""
 SELECT segment_label, count(*) AS n_customers, round_even(avg(is_churned::INT), 3) AS churn_rate,
-       round_even(avg(engagement_score::DECIMAL(28,6)), 3) AS avg_engagement,
-       round_even(avg(mrr_usd::DECIMAL(28,6)), 3) AS avg_mrr, round_even(avg(ticket_count), 3) AS avg_tickets,
+       round_even(avg(engagement_score), 3) AS avg_engagement,
+       round_even(avg(mrr_usd), 3) AS avg_mrr, round_even(avg(ticket_count), 3) AS avg_tickets,
        round_even(avg(days_active), 3) AS avg_days_active,
        round_even(avg(CASE WHEN plan_tier = 'free' THEN 1 ELSE 0 END), 3) AS pct_free_tier
 FROM master GROUP BY segment_label
@@ -700,7 +709,7 @@ ORACLES["segment_sizes"] = _master(
     "SELECT segment_label, count(*) AS n_customers FROM master GROUP BY segment_label"
 )
 ORACLES["segment_mrr"] = _master("""
-SELECT segment_label, coalesce(round_even(avg(mrr_usd::DECIMAL(28,6)), 3), 0) AS avg_mrr
+SELECT segment_label, coalesce(round_even(avg(mrr_usd), 3), 0) AS avg_mrr
 FROM master GROUP BY segment_label
 """)
 

@@ -4,6 +4,8 @@ from keepsight.functions.numbers import (
     capped_share,
     half_even,
     half_up,
+    mean_of_parts,
+    mean_parts,
     normal_upper_tail,
     ratio,
     steady_mean,
@@ -21,6 +23,6 @@ from keepsight.functions.times import (
 
 __all__ = [
     "as_wall_clock", "capped_share", "days_between", "email_domain", "half_even", "half_up",
-    "iso_week", "iso_week_key", "jaccard", "month_of", "months_before", "normal_upper_tail",
-    "parse_wall_clock", "ratio", "steady_mean", "strip_whitespace", "trigrams",
+    "iso_week", "iso_week_key", "jaccard", "mean_of_parts", "mean_parts", "month_of",
+    "months_before", "normal_upper_tail", "parse_wall_clock", "ratio", "steady_mean", "strip_whitespace", "trigrams",
 ]

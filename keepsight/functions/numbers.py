@@ -12,13 +12,32 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def steady_mean(value: Column) -> Column:
-    """Mean of amounts with up to 6 decimal digits, whatever the order of the rows.
+    """Mean of all values but NULL and NaN; that of amounts does not depend on the rows' order.
 
     Doubles summed in another order differ in the last digits, which moves a tie when the
-    mean is rounded. The sum is decimal, so it is exact; NaN and infinity are skipped.
+    mean is rounded. So values that six decimal digits hold are summed as decimals, exactly; all
+    others (longer fractions, very large values, infinity) are summed as doubles beside them.
     """
-    exact = value.try_cast("decimal(28,6)")
-    return ratio(F.sum(exact), F.count(exact))
+    return mean_of_parts(mean_parts(value))
+
+
+def mean_parts(value: Column) -> dict[str, Column]:
+    """The sums that `steady_mean` is made of; parts of several groups are added."""
+    number = value.cast("double")
+    number = F.when(~F.isnan(number), number)
+    exact = number.try_cast("decimal(22,6)")
+    held = F.coalesce(exact.cast("double") == number, F.lit(False))
+    return {
+        "exact": F.sum(F.when(held, exact)),
+        "other": F.sum(F.when(~held, number)),
+        "values": F.count(number),
+    }
+
+
+def mean_of_parts(parts: dict[str, Column]) -> Column:
+    """Mean from the (added) `mean_parts`; NULL without values."""
+    exact, other = (F.coalesce(parts[p].cast("double"), F.lit(0.0)) for p in ("exact", "other"))
+    return ratio(exact + other, parts["values"])
 
 
 def half_up(value: Column, digits: int) -> Column:

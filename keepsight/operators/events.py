@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from keepsight.functions import (
     days_between,
     half_even,
     iso_week,
+    mean_of_parts,
+    mean_parts,
     parse_wall_clock,
     ratio,
     steady_mean,
@@ -240,14 +244,39 @@ def funnel_dropoff(stages: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> Da
 
 
 def member_rollup(events: DataFrame) -> DataFrame:
-    """Events, active days, features, mean duration and first and last event per member."""
-    return events.groupBy("customer_id", "member_id").agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.countDistinct(F.to_date("ts")).alias("days_active"),
-        F.countDistinct("feature").alias("feature_count"),
-        steady_mean(F.col("session_duration_sec")).alias("avg_session_sec"),
-        F.min("ts").alias("first_seen"),
-        F.max("ts").alias("last_seen"),
+    """Events, active days, features, mean duration and first and last event per member.
+
+    Events fold once to (member, day, feature). A day counts at the first of its rows, a feature
+    too, so no row is repeated for the distinct counts; both windows and the last grouping use
+    the one shuffle on the member, who has at most days times features rows there.
+    """
+    member = ["customer_id", "member_id"]
+    sums = mean_parts(F.col("session_duration_sec"))
+    folded = (
+        events.groupBy(*member, F.to_date("ts").alias("_day"), "feature")
+        .agg(
+            F.count(F.lit(1)).alias("_events"),
+            F.min("ts").alias("_first"),
+            F.max("ts").alias("_last"),
+            *[part.alias(f"_{name}") for name, part in sums.items()],
+        )
+        .repartition(*member)
+    )
+    of_day = Window.partitionBy(*member, "_day").orderBy("feature")
+    of_feature = Window.partitionBy(*member, "feature").orderBy("_day")
+    marked = folded.withColumns(
+        {
+            "_new_day": F.col("_day").isNotNull() & (F.row_number().over(of_day) == 1),
+            "_new_feature": F.col("feature").isNotNull() & (F.row_number().over(of_feature) == 1),
+        }
+    )
+    return marked.groupBy(*member).agg(
+        F.sum("_events").alias("total_events"),
+        F.count_if("_new_day").alias("days_active"),
+        F.count_if("_new_feature").alias("feature_count"),
+        mean_of_parts({name: F.sum(f"_{name}") for name in sums}).alias("avg_session_sec"),
+        F.min("_first").alias("first_seen"),
+        F.max("_last").alias("last_seen"),
     )
 
 
@@ -287,7 +316,7 @@ def upsell_targets(
         members = member_rollup(complete)
     else:
         wanted = pin(ids.select("customer_id").distinct())
-        length = wanted.limit(SHORT_LIST + 1).count()
+        length = wanted.count()
         if length == 0 and all_if_empty:
             members = member_rollup(complete)
         elif length <= SHORT_LIST:
@@ -326,6 +355,21 @@ def activity_by_member(events: DataFrame) -> DataFrame:
     )
 
 
+def event_cleaning_report(events: DataFrame) -> DataFrame:
+    """Events read, those that miss an id or a valid time, and those complete enough to use.
+
+    `events` come from `normalize_events`; ids and times that are no such values are NULL there.
+    """
+    missing = {c: F.col(c).isNull() for c in ("customer_id", "member_id", "ts")}
+    steps = {
+        "events": F.count(F.lit(1)),
+        **{f"{c} missing or invalid": F.count_if(gone) for c, gone in missing.items()},
+        "complete": F.count_if(~reduce(or_, missing.values())),
+    }
+    counts = events.agg(*[count.alias(step) for step, count in steps.items()])
+    return counts.unpivot([], list(steps), "step", "rows")
+
+
 def field_presence(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Documents per combination of present and missing fields."""
     flags = [F.when(F.col(c).isNotNull(), "present").otherwise("missing").alias(c) for c in fields]

@@ -29,7 +29,7 @@ ONE_TASK_ROWS = 200_000
 
 def _small(side: DataFrame, groups: DataFrame) -> DataFrame:
     """Broadcast a table with a bounded number of rows per group if there are few groups."""
-    few = groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    few = groups.count() <= FEW_GROUPS
     return F.broadcast(side) if few else side
 
 
@@ -52,7 +52,7 @@ def _with_ranges(
     A range is odd for a value equal to a cut point, even for the open gap between two. Offsets
     hold the rows in the range, in all lower ranges and in the group. `df` should be stored.
     """
-    if not totals and df.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS:
+    if not totals and df.count() <= ONE_TASK_ROWS:
         ranged = df.withColumn("_range", F.lit(0))
         return ranged, F.broadcast(_offsets(ranged, by, weight))
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])

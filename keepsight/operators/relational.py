@@ -58,9 +58,9 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 def broadcast_below(df: DataFrame, limit: int) -> DataFrame:
     """Mark `df` for broadcast if it has at most `limit` rows; otherwise leave it to a shuffle.
 
-    Counts at most `limit` + 1 rows, so `df` should be stored (see ``session.pin``).
+    Counts the rows, so `df` should be stored (see ``session.pin``).
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

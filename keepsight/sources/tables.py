@@ -92,6 +92,15 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def document_report(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines read, and those that `documents` drops as they are not JSON."""
+    counts = lines.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.try_parse_json(F.col(column)).isNull()).alias("not JSON"),
+    )
+    return counts.unpivot([], ["lines", "not JSON"], "step", "documents")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """NDJSON file with one variant column, whatever fields the documents carry."""
     return documents(spark.read.text(path))
@@ -145,9 +154,11 @@ def onboarding_events(docs: DataFrame) -> DataFrame:
 def document_presence(docs: DataFrame, fields: Sequence[str] = CUSTOMER_FIELDS) -> DataFrame:
     """Documents per combination of present and missing fields, fields told apart by case.
 
+    A field that holds an explicit null is present.
+
     The result has one row per combination: the present fields as text, and the count.
     """
-    names = [F.when(_path(f, "string").isNotNull(), F.lit(f)) for f in fields]
+    names = [F.when(_path(f, "variant").isNotNull(), F.lit(f)) for f in fields]
     return (
         docs.groupBy(F.concat_ws(",", *names).alias("present_fields"))
         .agg(F.count(F.lit(1)).alias("documents"))

@@ -31,6 +31,9 @@ def test_steady_mean_of_ties(table):
     df = table([(0.1,), (0.2,), (0.3,), (0.4,), (math.nan,), (None,)], "v double")
     means = [df.orderBy(o).agg(K.steady_mean(F.col("v"))).first()[0] for o in ("v", F.desc("v"))]
     assert means == [0.25, 0.25]
+    large = table([(1e25,), (1.0,)], "v double").agg(K.steady_mean(F.col("v"))).first()[0]
+    small = table([(4e-7,), (4e-7,)], "v double").agg(K.steady_mean(F.col("v"))).first()[0]
+    assert (large, small) == (5e24, 4e-7)
     assert table([], "v double").agg(K.steady_mean(F.col("v"))).first()[0] is None
 
 

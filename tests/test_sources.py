@@ -46,12 +46,19 @@ def test_documents_with_names_that_differ_in_case(docs):
 def test_document_presence(docs):
     assert rows(tables.document_presence(docs)) == [
         ("customerID", 1),
-        ("customerId", 2),
+        ("customerId", 1),
         ("customerId,customerID", 1),
         ("customer_id", 2),
+        ("customer_id,customerId", 1),
     ]
 
 
+def test_lines_that_are_no_json_are_counted(table):
+    lines = table([('{"a": 1}',), ("not json",), (None,), ("null",)], "value string")
+    assert rows(tables.document_report(lines)) == [("lines", 4), ("not JSON", 2)]
+    assert rows(tables.document_report(lines.limit(0))) == [("lines", 0), ("not JSON", 0)]
+
+
 def test_onboarding_documents(table):
     lines = table(
         [('{"userID": 3, "step": "signup", "completed": true, "duration_seconds": 4}',), ("{}",)],
