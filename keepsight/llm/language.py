@@ -28,8 +28,11 @@ KNOWN_WORDS = 20_000
 KNOWN_GRAMS = 5_000
 LONGEST = 4
 UNKNOWN = "und"
-#: Words a counting task holds, and tokens a scoring worker remembers, at most.
+#: Words a counting task holds at most.
 HELD_WORDS = 150_000
+#: Tokens a scoring worker remembers at most (some 250 bytes each), and their longest length.
+SCORED_TOKENS = 1_000_000
+REMEMBERED_CHARS = 48
 CHUNK_CHARS = 500_000
 
 _RUNS = re.compile(r"[^\W\d_]+")
@@ -137,7 +140,7 @@ class Reader:
         self.used = 1
 
     def _learn(self, new: set[str]) -> None:
-        found = [(token, self.model.read(token)) for token in sorted(new)]
+        found = [(token, self.model.read(token)) for token in new]
         readable = [(token, parts) for token, parts in found if parts is not None]
         self.rows.update((token, 0) for token, parts in found if parts is None)
         if not readable:
@@ -156,10 +159,11 @@ class Reader:
 
     def languages(self, texts: list[str]) -> tuple[list[str], list[float]]:
         split = [text.lower().split() for text in texts]
-        new = {token for text in split for token in text} - self.rows.keys()
-        if len(self.rows) + len(new) > HELD_WORDS:
+        tokens = set().union(*split)
+        new = tokens.difference(self.rows)
+        if max(self.used, len(self.rows)) + len(new) > SCORED_TOKENS:
             self._forget()
-            new = {token for text in split for token in text}
+            new = tokens
         self._learn(new)
         get = self.rows.__getitem__
         names, scores = [], []
@@ -173,6 +177,9 @@ class Reader:
             best = int(total.argmax())
             names.append(self.model.langs[best])
             scores.append(float(1 / np.exp(total - total[best]).sum()))
+        for token in new:
+            if len(token) > REMEMBERED_CHARS:
+                del self.rows[token]
         return names, scores
 
 
