@@ -19,6 +19,8 @@ from keepsight.llm.toxicity import score_toxicity
 
 #: Least share of the likelihood that a document's language needs.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Least similarity of near duplicates, percent of the word shingles of two documents.
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Repeated rows of an id and text stay once. Rows with an id NULL can't be told apart by the
     decision; they stay, once for each text.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id").where("doc_id is not null")
+    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select("doc_id").where("doc_id is not null")
     kept = stored(kept.distinct(), "kept")
     named = docs.withColumn("text_hash", F.xxhash64("text"))
     chosen = named.join(kept, "doc_id", "left_semi").union(named.where("doc_id is null"))

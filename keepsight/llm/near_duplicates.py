@@ -1,12 +1,12 @@
 """Near duplicates by a multi-index Hamming join of b-bit MinHash signatures.
 
-A document's set of word shingles gets `BANDS * BAND_SYMBOLS` MinHash symbols of 16 bits. Two
-sets of Jaccard similarity s agree in a symbol with probability s. The signature is split into
-bands; two signatures that differ in fewer than 2 * BANDS symbols differ, by pigeonhole, in at
-most one symbol of some band. So every band is indexed once for each symbol that may be wrong
+A document's set of word shingles gets `BAND_SYMBOLS` MinHash symbols of 16 bits for each band.
+Two sets of Jaccard similarity s agree in a symbol with probability s. Two signatures that differ
+in fewer symbols than twice the bands differ, by pigeonhole, in at most one symbol of some band. So every band is indexed once for each symbol that may be wrong
 (the key is the band's other symbols), and all pairs under that signature distance meet in a
-bucket. At similarity 0.85 a pair exceeds the distance of 11 in 24 with probability below
-3e-5.
+bucket. The less similar a link may be, the more bands there are (`bands`): a pair at the least
+similarity is beyond that distance with probability `MISSED` at most. At 0.85 these are 6 bands,
+at 0.80 they are 9.
 
 Equal sets are folded to one class first. Buckets are not expanded into pairs: in a first
 round every class meets the least and the most central class of each of its buckets, links are
@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,10 @@ from keepsight.llm.store import python_path, stored
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 85
-BANDS = 6
 BAND_SYMBOLS = 4
-SYMBOLS = BANDS * BAND_SYMBOLS
+#: Probability that a pair at the least similarity of a link is beyond the signature distance.
+MISSED = 6e-5
+MOST_BANDS = 64
 SYMBOL_BITS = 16
 #: Characters whose shingles are made at a time.
 CHUNK_CHARS = 1_000_000
@@ -46,11 +48,23 @@ COLUMNS_AT_A_TIME = 4096
 COUNT_BITS = 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
-_FACTORS = _RANDOM.integers(1, 2**63, size=(SYMBOLS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _RANDOM.integers(0, 2**63, size=(SYMBOLS, 1), dtype=np.uint64)
+_MOST = (MOST_BANDS * BAND_SYMBOLS, 1)
+_FACTORS = _RANDOM.integers(1, 2**63, size=_MOST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RANDOM.integers(0, 2**63, size=_MOST, dtype=np.uint64)
 _PLACES = _RANDOM.integers(1, 2**63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def bands(percent: int) -> int:
+    """Least number of bands whose signature distance misses at most `MISSED` of the links."""
+    same = percent / 100
+    for count in range(1, MOST_BANDS):
+        size = count * BAND_SYMBOLS
+        wrong = range(2 * count, size + 1)
+        if sum(comb(size, k) * (1 - same) ** k * same ** (size - k) for k in wrong) <= MISSED:
+            return count
+    return MOST_BANDS
+
+
 def shingle_set(text: str | None, size: int = WORDS_PER_SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles (all its words if they are fewer)."""
     split = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -68,11 +82,11 @@ def shingle_set(text: str | None, size: int = WORDS_PER_SHINGLE) -> np.ndarray:
     return np.unique(mixed)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(SYMBOLS, 2**64 - 1, np.uint64)
+def signature(shingles: np.ndarray, symbols: int) -> np.ndarray:
+    least = np.full(symbols, 2**64 - 1, np.uint64)
     for start in range(0, len(shingles), COLUMNS_AT_A_TIME):
         part = shingles[None, start : start + COLUMNS_AT_A_TIME]
-        np.minimum(least, ((part * _FACTORS + _SHIFTS) >> np.uint64(20)).min(axis=1), out=least)
+        np.minimum(least, ((part * _FACTORS[:symbols] + _SHIFTS[:symbols]) >> np.uint64(20)).min(axis=1), out=least)
     return (least & np.uint64(2**SYMBOL_BITS - 1)).astype(np.int32)
 
 
@@ -88,13 +102,13 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list]]:
             start, size, pieces = at + 1, 0, []
 
 
-def _sign(size: int):
+def _sign(size: int, symbols: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in _chunks(batch):
                 sets = [shingle_set(text, size) for text in texts]
                 node = [_digest(s) for s in sets]
-                signs = [signature(s) if len(s) else None for s in sets]
+                signs = [signature(s, symbols) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
@@ -128,10 +142,10 @@ def _full_sets(size: int):
     return task
 
 
-def _keys() -> Column:
+def _keys(count: int) -> Column:
     """One bucket key for each band and each of its symbols that may be wrong."""
     keys = []
-    for band in range(BANDS):
+    for band in range(count):
         places = [F.col("symbols")[band * BAND_SYMBOLS + i].cast("long") for i in range(BAND_SYMBOLS)]
         for kept in combinations(range(BAND_SYMBOLS), BAND_SYMBOLS - 1):
             key = F.lit(len(keys)).cast("long")
@@ -141,9 +155,9 @@ def _keys() -> Column:
     return F.explode(F.array(*keys)).alias("key")
 
 
-def _distance(a: str, b: str) -> Column:
+def _distance(a: str, b: str, symbols: int) -> Column:
     """Number of symbols in which two signatures differ."""
-    wrong = [(F.col(a)[i] != F.col(b)[i]).cast("int") for i in range(SYMBOLS)]
+    wrong = [(F.col(a)[i] != F.col(b)[i]).cast("int") for i in range(symbols)]
     return sum(wrong[1:], wrong[0])
 
 
@@ -176,17 +190,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(links, "confirmed")
 
 
-def _near(pairs: DataFrame, symbols: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, symbols: DataFrame, count: int) -> DataFrame:
     """Distinct pairs under the signature distance that bands with one error guarantee."""
     left = symbols.select(F.col("node").alias("a"), F.col("symbols").alias("x"))
     right = symbols.select(F.col("node").alias("b"), F.col("symbols").alias("y"))
-    near = pairs.distinct().join(left, "a").join(right, "b").where(_distance("x", "y") < 2 * BANDS)
+    under = _distance("x", "y", count * BAND_SYMBOLS) < 2 * count
+    near = pairs.distinct().join(left, "a").join(right, "b").where(under)
     return stored(near.select("a", "b"), "pairs")
 
 
-def _shared_buckets(classes: DataFrame) -> DataFrame:
+def _shared_buckets(classes: DataFrame, count: int) -> DataFrame:
     """Rows `key`, `node`, `copies`, `size` of buckets with several classes."""
-    buckets = classes.select(_keys(), "node", "copies")
+    buckets = classes.select(_keys(count), "node", "copies")
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     return stored(buckets.join(sizes.where("size > 1"), "key"), "buckets")
 
@@ -303,11 +318,13 @@ def near_duplicates(
     are not read.
     """
     python_path(docs.sparkSession)
+    count = bands(percent)
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = stored(
         docs.mapInArrow(
-            _sign(size), f"doc_id {kind}, n_shingles bigint, node binary, symbols array<int>"
+            _sign(size, count * BAND_SYMBOLS),
+            f"doc_id {kind}, n_shingles bigint, node binary, symbols array<int>",
         ),
         "signed",
     )
@@ -321,13 +338,13 @@ def near_duplicates(
         "classes",
     )
     symbols, names = classes.select("node", "symbols"), classes.select("node", "doc_id")
-    buckets = _shared_buckets(classes)
-    pairs = _near(_star_pairs(buckets), symbols)
+    buckets = _shared_buckets(classes, count)
+    pairs = _near(_star_pairs(buckets), symbols, count)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     links = _confirmed(pairs, _sets(nodes, docs, names, size), percent)
     open_ = _open_classes(buckets, components(links))
     sets = _sets(open_.select("node"), docs, names, size)
-    pairs = _near(_cross_pairs(open_, sets, percent), symbols)
+    pairs = _near(_cross_pairs(open_, sets, percent), symbols, count)
     links = links.union(_confirmed(pairs, sets, percent))
     joined = components(links).join(names, "node", "right").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from checks.compare import connect, differences
 from keepsight.llm.html_text import extract_text
+from keepsight.llm.near_duplicates import bands
 from keepsight.llm.neighbours import nearest_neighbours
 from keepsight.llm.page_blocks import parse
 from keepsight.llm.queries import ORACLES, QUERIES, URL_RULES, url_rules
@@ -199,3 +200,17 @@ def test_pipeline_stages(spark):
             ids = [r.doc_id for r in docs.select("doc_id").collect() if r.doc_id is not None]
             assert len(ids) == len(set(ids)) < left
     assert corpus_pipeline.pack_sequences(spark, docs, SMALL).count() > 0
+
+
+def test_pipeline_drops_copies_from_80_percent_on(spark, documents):
+    words = [f"w{i}" for i in range(100)]
+    copy = [*words[:90], *(f"x{i}" for i in range(10))]  # 86 of 106 shingles: 0.811
+    other = [*words[:88], *(f"y{i}" for i in range(12))]  # 84 of 108 shingles: 0.778
+    rows = [(1, words), (2, copy), (3, [f"z{w}" for w in words]), (4, [f"z{w}" for w in other])]
+    docs = documents([(i, " ".join(w), "en", "s") for i, w in rows])
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()
+    assert sorted(r.doc_id for r in left) == [1, 3, 4]
+
+
+def test_bands_suit_the_similarity():
+    assert (bands(85), bands(80)) == (6, 9)
