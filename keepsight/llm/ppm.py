@@ -6,12 +6,15 @@ distinct); the rest, distinct / (total + distinct), is the escape to the next sh
 whose distribution is taken without the symbols already seen (symbol exclusion) and scaled to
 one. Below the empty context all byte values are alike.
 
-The trie is sent to every task, so its size is bounded: contexts of up to two bytes have at
-most 2^24 cells and are complete; of the longer ones the most frequent are kept, up to
-`DEEP_CELLS` cells for each length, and a text escapes from the others to a shorter context.
-
-Word counts have no such bound. Frequent words (a fixed number at most) are looked up in the
-tasks; all others are joined to the table of counts by a shuffle, so every count is exact.
+The trie of contexts of up to two bytes has at most 2^24 cells and is sent to every task, with
+the most frequent of the longer contexts, up to `DEEP_CELLS` cells for each length. All other
+contexts are stored tables, one row for each context (it has at most 256 symbols). A task gives
+the cells whose context it does not hold back with how often a text has them; their distinct
+ones are joined to the tables by context and scored level by level, and joined to the texts. So
+no cell is left out, however many there are.
+
+Word counts likewise: frequent words (a fixed number at most) are looked up in the tasks; all
+others are joined to the table of counts by a shuffle, so every count is exact.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepsight.llm.store import python_path, remainder, stored
@@ -32,7 +35,7 @@ from keepsight.llm.store import python_path, remainder, stored
 ORDER = 4
 #: Contexts of up to so many bytes are complete.
 COMPLETE = 2
-#: Cells of the trie for each longer context length, at most.
+#: Cells of each longer context length that are sent to every task, at most; the rest is joined.
 DEEP_CELLS = 1_000_000
 #: Marks the start (`ORDER` times) and the end of a text; no UTF-8 text holds this byte.
 EDGE = 255
@@ -128,6 +131,20 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found_cells()
 
 
+def _level(
+    counts: np.ndarray, lower: np.ndarray, first: np.ndarray, distinct: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of the cells' chances and of the contexts' escapes, from the cells' counts and
+    log10 probabilities at the next shorter length; `first` cell and number of cells by context."""
+    total = np.add.reduceat(counts, first)
+    unseen = 1 - np.add.reduceat(10.0**lower, first)
+    # where all symbols were seen nothing is left to escape to
+    escape = np.where(unseen > 1e-9, distinct, 0)
+    chance = counts / np.repeat(total + escape, distinct)
+    scale = np.maximum(escape, 1e-300) / (total + escape) / np.maximum(unseen, 1e-9)
+    return np.log10(chance), np.maximum(np.log10(scale), -30)
+
+
 class Trie:
     """log10 probabilities of the cells, and of the escapes of the contexts, by hashed number.
 
@@ -135,9 +152,11 @@ class Trie:
     itself with another tag. Conflicts are solved by taking the next free slot.
     """
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        """`levels`: sorted cell numbers and counts by length of context, from 0."""
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], complete: int | None = None):
+        """`levels`: sorted cell numbers and counts by length of context, from 0. Beyond the
+        length `complete` there are contexts that the trie does not hold."""
         self.order = len(levels) - 1
+        self.complete = self.order if complete is None else complete
         self.bits = 10
         self.keys, self.values = self._slots()
         self.size = 0
@@ -149,18 +168,13 @@ class Trie:
         return np.full(1 << self.bits, _EMPTY), np.zeros(1 << self.bits, np.float32)
 
     def _grow(self, numbers: np.ndarray, counts: np.ndarray, length: int) -> None:
-        lower = 10.0 ** self._log(numbers, length - 1)
+        lower = self.log_probabilities(numbers, length - 1)
         contexts, first, distinct = np.unique(
             numbers >> _EIGHT, return_index=True, return_counts=True
         )
-        total = np.add.reduceat(counts, first)
-        unseen = 1 - np.add.reduceat(lower, first)
-        # where all symbols were seen nothing is left to escape to
-        escape = np.where(unseen > 1e-9, distinct, 0)
-        chance = counts / np.repeat(total + escape, distinct)
-        scale = np.maximum(escape, 1e-300) / (total + escape) / np.maximum(unseen, 1e-9)
-        self._put(self._cell(numbers, length), np.log10(chance))
-        self._put(self._context(contexts, length), np.maximum(np.log10(scale), -30))
+        chance, escape = _level(counts, lower, first, distinct)
+        self._put(self._cell(numbers, length), chance)
+        self._put(self._context(contexts, length), escape)
 
     def _cell(self, numbers: np.ndarray, length: int) -> np.ndarray:
         inside = np.uint64((1 << 8 * (length + 1)) - 1)
@@ -214,15 +228,121 @@ class Trie:
             value[left] += np.where(known, escape, 0)
         return value
 
-    def log_probabilities(self, numbers: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol after its context."""
-        return self._log(numbers, self.order)
+    def log_probabilities(self, numbers: np.ndarray, length: int | None = None) -> np.ndarray:
+        """log10 probability of each symbol after its context (the last `length` bytes of it)."""
+        return self._log(numbers, self.order if length is None else length)
+
+    def holds(self, numbers: np.ndarray, length: int) -> np.ndarray:
+        """Whether the trie holds the context of `length` bytes of each cell."""
+        return self._find(self._context(numbers >> _EIGHT, length))[1]
+
+    def unsettled(self, numbers: np.ndarray) -> np.ndarray:
+        """Cells whose longest context may be one that only the stored tables hold."""
+        if self.complete == self.order:
+            return np.zeros(len(numbers), bool)
+        # a context is unknown where a shorter one is that would be held
+        return ~self.holds(numbers, self.order) & self.holds(numbers, self.complete)
 
 
-def code_lengths(texts: list[bytes], trie: Trie) -> np.ndarray:
-    """log10 probability of each text and its end."""
+_OPEN = pa.struct([("cell", pa.int64()), ("n", pa.int64())])
+
+
+def code_lengths(texts: list[bytes], trie: Trie) -> tuple[np.ndarray, pa.Array]:
+    """log10 probability of each text and its end, without the cells that are listed with it:
+    those that the trie can't settle, and how often the text has them."""
     numbers, first = cells(texts)
-    return np.add.reduceat(trie.log_probabilities(numbers), first)
+    logs = trie.log_probabilities(numbers)
+    at = np.flatnonzero(trie.unsettled(numbers))
+    logs[at] = 0
+    text = np.searchsorted(first, at, side="right") - 1
+    order = np.lexsort((numbers[at], text))
+    own, text = numbers[at][order], text[order]
+    new = np.flatnonzero(
+        np.concatenate([[True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])])[: len(own)]
+    )
+    times = np.diff(np.append(new, len(own)))
+    offsets = np.searchsorted(text[new], np.arange(len(texts) + 1)).astype(np.int32)
+    listed = pa.StructArray.from_arrays(
+        [pa.array(own[new].astype(np.int64)), pa.array(times.astype(np.int64))], fields=list(_OPEN)
+    )
+    return np.add.reduceat(logs, first), pa.ListArray.from_arrays(pa.array(offsets), listed)
+
+
+def _joined_logs(
+    trie: Trie, numbers: np.ndarray, row: np.ndarray, batch: pa.RecordBatch, length: int
+) -> np.ndarray:
+    """log10 probability at `length` of the cells of each `row` of the batch, which has its
+    contexts' rows of the stored tables (`own3`, `escape3`, ...; NULL if there is none)."""
+    if length <= trie.complete:
+        return trie.log_probabilities(numbers, length)
+    value = _joined_logs(trie, numbers, row, batch, length - 1)
+    held = trie.holds(numbers, length)
+    value[held] = trie.log_probabilities(numbers[held], length)
+    escape = batch.column(f"escape{length}").to_numpy(zero_copy_only=False).astype(np.float64)[row]
+    known = ~np.isnan(escape)
+    value[known] += escape[known]
+    table = batch.column(f"own{length}").flatten()
+    if len(table):
+        found, first = np.unique(table.field("cell").to_numpy().astype(np.uint64), return_index=True)
+        wanted = numbers & np.uint64((1 << 8 * (length + 1)) - 1)
+        place = np.minimum(np.searchsorted(found, wanted), len(found) - 1)
+        hit = known & (found[place] == wanted)
+        value[hit] = table.field("log").to_numpy()[first[place[hit]]]
+    return value
+
+
+_LOGS = pa.struct([("cell", pa.int64()), ("log", pa.float64())])
+
+
+def _level_task(trie: Trie, length: int):
+    """Scored contexts (`context`, `own`, `escape`) of those counted (`context`, `counted`)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            counted = batch.column("counted")
+            distinct = counted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(distinct)), distinct)
+            found = counted.flatten()
+            numbers = found.field("cell").to_numpy().astype(np.uint64)
+            lower = _joined_logs(trie, numbers, row, batch, length - 1)
+            first = np.cumsum(distinct) - distinct
+            chance, escape = _level(found.field("n").to_numpy(), lower, first, distinct)
+            offsets = np.append(first, len(numbers)).astype(np.int32)
+            own = pa.StructArray.from_arrays([found.field("cell"), pa.array(chance)], fields=list(_LOGS))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("context"), pa.ListArray.from_arrays(pa.array(offsets), own), pa.array(escape)],
+                names=["context", "own", "escape"],
+            )
+
+    return task
+
+
+def _open_task(trie: Trie):
+    """log10 probabilities (`cell`, `log`) of cells that are listed by context."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = batch.column("wanted")
+            sizes = listed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            found = listed.flatten()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            logs = _joined_logs(trie, found.to_numpy().astype(np.uint64), row, batch, trie.order)
+            yield pa.RecordBatch.from_arrays([found, pa.array(logs)], names=["cell", "log"])
+
+    return task
+
+
+def _with_tables(rows: DataFrame, tables: dict[int, DataFrame]) -> DataFrame:
+    """Rows by `context`, with the table rows of the last bytes of it for each length."""
+    for length, table in tables.items():
+        own = table.select(
+            F.col("context").alias("key"), F.col("own").alias(f"own{length}"), F.col("escape").alias(f"escape{length}")
+        )
+        last = F.col("context").bitwiseAND(F.lit((1 << 8 * length) - 1))
+        rows = rows.withColumn("key", last).join(own, "key", "left").drop("key")
+    return rows
 
 
 def _score_task(trie: Trie, frequent: dict[bytes, int]):
@@ -241,6 +361,7 @@ def _score_task(trie: Trie, frequent: dict[bytes, int]):
                     rare.append([{"token": w, "n": n} for w, n in counts.items() if w not in logs])
                     known.append(totals[-1] - sum(x["n"] for x in rare[-1]))
                 size = len(texts)
+                score, open_cells = code_lengths(texts, trie)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + size)),
@@ -253,30 +374,38 @@ def _score_task(trie: Trie, frequent: dict[bytes, int]):
                             rare,
                             pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])),
                         ),
-                        pa.array(code_lengths(texts, trie), pa.float64()),
+                        pa.array(score, pa.float64()),
+                        open_cells,
+                    ],
+                    names=[
+                        *("row", "doc_id", "held_out", "n_tokens", "known", "logs", "rare", "score"),
+                        "open",
                     ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "known", "logs", "rare", "score"],
                 )
                 row += size
 
     return task
 
 
-def _most_frequent(rows: DataFrame, total: str, most: int) -> DataFrame:
-    """Rows from a value of `total` on that `most` rows or fewer reach (tied rows go together)."""
-    level = F.floor(F.log2(total) * 4)
-    steps = rows.groupBy(level.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+def _step(total: str) -> Column:
+    return F.floor(F.log2(total) * 4)
+
+
+def _least_step(rows: DataFrame, total: str, most: int) -> tuple[float, bool]:
+    """Step of `total` from which on there are `most` rows or fewer, and whether these are all."""
+    steps = rows.groupBy(_step(total).alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
     size, least = 0, math.inf
     for step, count in sorted(map(tuple, steps), reverse=True):
         size += count
         if size > most:
-            break
+            return least, False
         least = step
-    return rows.where(level >= F.lit(float(least)))
+    return least, True
 
 
-def _trie(counts: DataFrame, deep_cells: int) -> Trie:
-    """The trie of all cells (`cell`, `n`) of the longest contexts."""
+def _trie(counts: DataFrame, deep_cells: int) -> tuple[Trie, dict[int, DataFrame]]:
+    """The trie of the cells (`cell`, `n`) of the longest contexts, and for each length that it
+    does not hold whole the table of its other contexts."""
     levels = []
     complete = counts.groupBy(
         F.col("cell").bitwiseAND(F.lit((1 << 8 * (COMPLETE + 1)) - 1)).alias("cell")
@@ -287,17 +416,53 @@ def _trie(counts: DataFrame, deep_cells: int) -> Trie:
     for length in range(COMPLETE + 1):
         inside = np.uint64((1 << 8 * (length + 1)) - 1)
         levels.append(_fold(numbers & inside, times) if len(numbers) else (numbers, times))
+    whole, floor, others = COMPLETE, -math.inf, {}
     for length in range(COMPLETE + 1, ORDER + 1):
         inside = F.lit((1 << 8 * (length + 1)) - 1)
         of = counts.groupBy(F.col("cell").bitwiseAND(inside).alias("cell")).agg(F.sum("n").alias("n"))
         of = stored(of.withColumn("context", F.shiftright("cell", 8)), "cells")
         totals = of.groupBy("context").agg(F.sum("n").alias("total"))
-        kept = _most_frequent(of.join(totals, "context"), "total", deep_cells)
+        of = of.join(totals, "context")
+        least, all_kept = _least_step(of, "total", deep_cells)
+        # a context that is held has all shorter ones held: those come as often at least
+        floor = max(floor, -math.inf if all_kept else least)
+        kept = of if floor == -math.inf else of.where(_step("total") >= F.lit(float(floor)))
+        if floor == -math.inf:
+            whole = length
+        else:
+            others[length] = of.where(_step("total") < F.lit(float(floor)))
         found = kept.select("cell", "n").toArrow()
         numbers = found.column("cell").to_numpy().astype(np.uint64)
         order = np.argsort(numbers)
         levels.append((numbers[order], found.column("n").to_numpy()[order]))
-    return Trie(levels)
+    trie, tables = Trie(levels, whole), {}
+    for length, of in others.items():
+        counted = of.groupBy("context").agg(F.collect_list(F.struct("cell", "n")).alias("counted"))
+        tables[length] = stored(
+            _with_tables(counted, tables).mapInArrow(
+                _level_task(trie, length),
+                "context bigint, own array<struct<cell: bigint, log: double>>, escape double",
+            ),
+            "contexts",
+        )
+    return trie, tables
+
+
+def _open_scores(scored: DataFrame, trie: Trie, tables: dict[int, DataFrame]) -> DataFrame:
+    """`row` and the log10 probability of its cells that the trie did not settle."""
+    listed = scored.select("row", F.explode("open").alias("x")).select("row", "x.cell", "x.n")
+    wanted = (
+        listed.select("cell")
+        .distinct()
+        .groupBy(F.shiftright("cell", 8).alias("context"))
+        .agg(F.collect_list("cell").alias("wanted"))
+    )
+    logs = _with_tables(wanted, tables).mapInArrow(_open_task(trie), "cell bigint, log double")
+    return (
+        listed.join(stored(logs, "logs"), "cell")
+        .groupBy("row")
+        .agg(F.sum(F.col("n") * F.col("log")).alias("more_score"))
+    )
 
 
 def score_documents(
@@ -337,16 +502,18 @@ def score_documents(
     )
     row = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = row[0], row[1]
-    frequent = _most_frequent(words, "n", frequent_words).toArrow()
+    least, _ = _least_step(words, "n", frequent_words)
+    frequent = words.where(_step("n") >= F.lit(float(least))).toArrow()
     hot = dict(zip(*(frequent.column(c).to_pylist() for c in ("token", "n")), strict=True))
     all_cells = partial.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n"))
-    trie = _trie(stored(all_cells, "cells"), deep_cells)
+    trie, tables = _trie(stored(all_cells, "cells"), deep_cells)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = stored(
         docs.mapInArrow(
             _score_task(trie, hot),
             f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, "
-            "logs double, rare array<struct<token: binary, n: bigint>>, score double",
+            "logs double, rare array<struct<token: binary, n: bigint>>, score double, "
+            "open array<struct<cell: bigint, n: bigint>>",
         ),
         "scored",
     )
@@ -361,6 +528,10 @@ def score_documents(
         )
     )
     per_token = math.log10(tokens + 0.1 * (distinct + 1))
+    score = F.col("score")
+    if tables:
+        scored = scored.join(_open_scores(scored, trie, tables), "row", "left")
+        score = score + F.coalesce("more_score", F.lit(0.0))
     return scored.join(rest, "row", "left").select(
         "doc_id",
         "held_out",
@@ -370,5 +541,5 @@ def score_documents(
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * per_token).alias(
             "base_score"
         ),
-        "score",
+        score.alias("score"),
     )

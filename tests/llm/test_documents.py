@@ -340,6 +340,17 @@ def test_language_model_by_hand(documents):
         assert math.isclose(r.score, ppm_by_hand(train, data), rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("deep_cells", [0, 150, 400, 1000])
+def test_language_model_whole_beyond_the_cells_sent(documents, deep_cells):
+    random = np.random.default_rng(8)
+    texts = ["".join(random.choice(list("abcde é"), int(random.integers(5, 40)))) for _ in range(60)]
+    train = [t.encode().lower() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    docs = documents([(i, t, "en", "s") for i, t in enumerate(texts)])
+    for r in ppm.score_documents(docs, deep_cells=deep_cells).collect():
+        want = ppm_by_hand(train, texts[r.doc_id].encode().lower())
+        assert math.isclose(r.score, want, rel_tol=1e-4)
+
+
 def test_language_model_odd_rows(documents):
     found = ppm.score_documents(documents(ODD)).collect()
     assert len(found) == len(ODD) and all(r.score < 0 for r in found)
