@@ -5,8 +5,10 @@ with the same occurrence vector over the pages of a host (how often in which pag
 class; vectors are compared by a sum of hashes that folds on the map side, so a host of any
 size is a few sums. Classes that most pages of the host hold, once each, are its frame; other
 roles nest below the deepest role of the frame on their path, their slot. Text that is a token
-of most pages belongs to the template. Slots are judged as a whole (links, names of their
-elements); what is left of each page's blocks is its text.
+of most pages belongs to the template. Slots are chosen on every page alike, as a whole and from
+all pages of the host: by their own text, which is neither the template's nor links. Names of
+elements only hint: a slot named as beside the text goes unless it holds most of the host's own
+text, and slots named as the main part are taken alone if no other slot holds more.
 """
 
 from __future__ import annotations
@@ -99,15 +101,48 @@ def _slot(frame, role):
     return F.coalesce(F.array_max(F.transform(on_path, lambda f: F.struct(F.length(f), f.alias("f"))))["f"], F.lit(""))
 
 
+def _known(b):
+    """Whether a block is text of the host's template."""
+    no_number = F.array().cast("array<bigint>")
+    return ~b["main"] & F.array_contains(F.coalesce("repeated", no_number), b["digest"])
+
+
+def _key(slot, beside, main):
+    return F.concat_ws("|", beside.cast("string"), main.cast("string"), slot)
+
+
+def _choices(slots: DataFrame) -> DataFrame:
+    """For each host the slots that are taken, and whether its main ones are taken alone.
+
+    `slots` has the characters of text that isn't the template's, and those of links, by role.
+    """
+    each = slots.groupBy("host", "slot", "beside", "main").agg(
+        F.sum("chars").alias("chars"), F.sum("links").alias("links")
+    )
+    own = F.col("chars") - F.col("links")
+    total = each.groupBy("host").agg(F.sum(own).alias("total"))
+    taken = each.join(total, "host").where(
+        (F.col("main") | (2 * F.col("links") <= F.col("chars")))
+        & (~F.col("beside") | (2 * own > F.col("total")))
+    )
+    main = F.sum(F.when(F.col("main"), own))
+    other = F.max(F.when(~F.col("main"), own))
+    return taken.groupBy("host").agg(
+        F.collect_set(_key(F.col("slot"), F.col("beside"), F.col("main"))).alias("taken"),
+        F.coalesce(main >= other, F.lit(True)).alias("main_first"),
+    )
+
+
 def extract_text(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
 ) -> DataFrame:
     """Main text of every page: `page_id`, `url`, `text` and `n_chars` (its code points).
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup and
-    reader comments are left out, by the names of their elements, by the host's template
-    (repeated text outside an article) and by slots that are mostly links. A page with an
-    article gives the article alone, in full. Character references are decoded, white space in
+    reader comments are left out, by the host's template (repeated text outside an article) and
+    by slots that are mostly links or are named so and don't hold most of the host's own text. If
+    no other slot of the host holds more than its articles, a page with an article gives the
+    article alone, in full. Character references are decoded, white space in
     a block becomes one space, blocks are joined by one space.
 
     Html that is NULL, empty or without text gives an empty text. A url NULL or without `://`
@@ -134,18 +169,7 @@ def extract_text(
     sizes = stored(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
     frames = stored(_frames(parsed, sizes), "frames")
 
-    blocks = parsed.select("host", "page", F.explode("blocks").alias("b")).where("not b.beside")
-    by_role = blocks.groupBy("host", F.col("b.role").alias("role")).agg(
-        F.sum(F.length("b.text")).alias("chars"), F.sum("b.link_chars").alias("links")
-    )
-    slots = by_role.join(frames, "host", "left").withColumn("slot", _slot(F.col("frame"), F.col("role")))
-    linked = (
-        slots.groupBy("host", "slot")
-        .agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-        .where("2 * links > chars")
-        .groupBy("host")
-        .agg(F.collect_set("slot").alias("linked"))
-    )
+    blocks = parsed.select("host", "page", F.explode("blocks").alias("b"))
     repeated = (
         blocks.where("not b.main")
         .select("host", "page", F.col("b.digest").alias("digest"))
@@ -158,24 +182,33 @@ def extract_text(
         .groupBy("host")
         .agg(F.collect_list("digest").alias("repeated"))
     )
-    templates = stored(
-        sizes.select("host").join(frames, "host", "left").join(linked, "host", "left").join(repeated, "host", "left"),
-        "templates",
+    hosts = sizes.select("host").join(frames, "host", "left").join(stored(repeated, "repeated"), "host", "left")
+    hosts = stored(hosts, "templates")
+    own = F.filter("blocks", lambda b: ~_known(b))
+    chars, links = F.sum(F.length("b.text")).alias("chars"), F.sum("b.link_chars").alias("links")
+    by_role = (
+        parsed.select("host", "blocks")
+        .join(hosts.select("host", "repeated"), "host")
+        .select("host", F.explode(own).alias("b"))
+        .groupBy("host", "b.role", "b.beside", "b.main")
+        .agg(chars, links)
     )
-    no_text, no_number = F.array().cast("array<string>"), F.array().cast("array<bigint>")
+    slots = by_role.join(hosts.select("host", "frame"), "host").withColumn("slot", _slot(F.col("frame"), F.col("role")))
+    choices = _choices(slots)
+    templates = stored(hosts.join(choices, "host", "left"), "choices")
 
-    def kept(b):
-        slot = _slot(F.col("frame"), b["role"])
-        listed = F.array_contains(F.coalesce("linked", no_text), slot)
-        known = F.array_contains(F.coalesce("repeated", no_number), b["digest"])
-        return ~b["beside"] & F.when(b["main"], F.lit(True)).otherwise(~listed & ~known)
+    def listed(name, b):
+        key = _key(_slot(F.col("frame"), b["role"]), b["beside"], b["main"])
+        return F.array_contains(F.coalesce(name, F.array().cast("array<string>")), key)
 
-    has_main = F.exists("blocks", lambda b: b["main"] & ~b["beside"])
-    chosen = F.filter("blocks", lambda b: (b["main"] | ~has_main) & kept(b))
+    kept = F.filter("blocks", lambda b: ~_known(b) & listed("taken", b))
+    first = F.exists("kept", lambda b: b["main"]) & F.col("main_first")
+    chosen = F.filter("kept", lambda b: ~first | b["main"])
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
     return (
         parsed.drop("roles")
         .join(templates, "host")
+        .select("page_id", "url", "main_first", kept.alias("kept"))
         .select("page_id", "url", text.alias("text"))
         .withColumn("n_chars", F.length("text").cast("bigint"))
     )
