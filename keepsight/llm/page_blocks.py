@@ -22,7 +22,7 @@ HIDDEN = frozenset(
 )
 ASIDE = frozenset("nav footer aside menu dialog".split())
 MAIN = frozenset("article main".split())
-#: Words in a class, id or role that name parts beside the text.
+#: Words of names that hint at parts beside the text; all words of a class, id or role must be such.
 BESIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "consent cookie cookies disqus footer header login masthead menu modal nav navbar navigation "
@@ -53,9 +53,11 @@ class Element:
     main: bool
     link: bool
     inline: bool
+    #: Inside an element whose content is never text.
+    hidden: bool
 
 
-ROOT = Element("", "", False, False, False, False)
+ROOT = Element("", "", False, False, False, False, False)
 
 
 @dataclass(slots=True)
@@ -71,20 +73,26 @@ class Block:
         return xxhash.xxh3_64_intdigest(self.text.encode("utf-8", "surrogatepass")) - 2**63
 
 
+def _named(names: list[list[str]], words: frozenset[str]) -> bool:
+    """Whether a name (given by its words) consists of such words alone."""
+    return any(name and words.issuperset(name) for name in names)
+
+
 def _open(tag: str, rest: str, parent: Element) -> Element:
     if tag in INLINE:
         link = parent.link or tag == "a"
-        return Element(tag, parent.role, parent.beside, parent.main, link, True)
-    name, words = tag, set()
+        return Element(tag, parent.role, parent.beside, parent.main, link, True, parent.hidden)
+    name, names = tag, []
     if "=" in rest:
         for attribute, *values in _NAMES.findall(rest):
             value = "".join(values).lower()
-            words.update(_PARTS.findall(value))
+            names += [_PARTS.findall(one) for one in value.split()]
             name += f"[{attribute.lower()}={_DIGITS.sub('0', value)}]"
-    main = parent.main or tag in MAIN or bool(words & MAIN_WORDS)
-    beside = tag in HIDDEN or tag in ASIDE or (tag == "header" and not parent.main)
-    beside = parent.beside or beside or (tag not in ("html", "body") and bool(words & BESIDE_WORDS))
-    return Element(tag, f"{parent.role}/{name}", beside, main, parent.link, False)
+    main = parent.main or tag in MAIN or _named(names, MAIN_WORDS)
+    hidden = parent.hidden or tag in HIDDEN
+    beside = hidden or tag in ASIDE or (tag == "header" and not parent.main)
+    beside = parent.beside or beside or (tag not in ("html", "body") and _named(names, BESIDE_WORDS))
+    return Element(tag, f"{parent.role}/{name}", beside, main, parent.link, False, hidden)
 
 
 def parse(page: str) -> tuple[list[Block], Counter[str]]:
@@ -100,7 +108,9 @@ def parse(page: str) -> tuple[list[Block], Counter[str]]:
         whole = " ".join("".join(text).split())
         if whole:
             around = next(e for e in reversed(stack) if not e.inline)
-            blocks.append(Block(around.role, whole, min(linked, len(whole)), around.beside, around.main))
+            if not around.hidden:
+                link_chars = min(linked, len(whole))
+                blocks.append(Block(around.role, whole, link_chars, around.beside, around.main))
         text.clear()
         linked = 0
 

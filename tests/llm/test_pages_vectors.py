@@ -180,6 +180,31 @@ def test_html_odd_pages(table):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_html_names_are_weak_evidence(table):
+    body = "Real text of page {i} that is long enough to be the most of it"
+    kinds = [
+        ("layout", f"<div class='layout no-sidebar'><p>{body}</p></div>", body),
+        ("post", f"<article class='post category-social'><h1 class='entry-header'>H {{i}}</h1><p>{body}</p></article>", f"H {{i}} {body}"),
+        ("widget", f"<div class='widget'><p>{body}</p></div><div class='ad'>Buy {{i}}</div>", body),
+        ("card", f"<div class='text'><p>{body}</p></div><div class='story-card'>Teaser {{i}}</div>", f"{body} Teaser {{i}}"),
+    ]
+    rows = [
+        (f"{kind} {i}", f"http://{kind}.b/{i}", page.replace("{i}", f"x{i}"))
+        for kind, page, _ in kinds
+        for i in range(6)
+    ]
+    found = text_of(extract_text(table(rows, "page_id string, url string, html string")))
+    for kind, _, want in kinds:
+        assert [found[f"{kind} {i}"] for i in range(6)] == [want.replace("{i}", f"x{i}") for i in range(6)]
+
+
+def test_html_slots_outweigh_main_names(table):
+    page = "<div class='text'><p>Long text number {i} of the real article</p></div><div class='story'>See {i}</div>"
+    rows = [(i, f"http://a.b/{i}", page.replace("{i}", f"x{i}")) for i in range(6)]
+    found = text_of(extract_text(table(rows, "page_id long, url string, html string")))
+    assert all(found[i].startswith(f"Long text number x{i}") for i in range(6))
+
+
 def test_parse_roles():
     blocks, roles = parse("<div class='a1'><p>x</p><p>y</p></div>")
     assert [b.text for b in blocks] == ["x", "y"] and roles["/div[class=a0]/p"] == 2
