@@ -6,16 +6,17 @@ in fewer symbols than twice the bands differ, by pigeonhole, in at most one symb
 (the key is the band's other symbols), and all pairs under that signature distance meet in a
 bucket. The less similar a link may be, the more bands there are (`bands`): a pair at the least
 similarity is beyond that distance with probability `MISSED` at most. At 0.85 these are 6 bands,
-at 0.80 they are 9.
+at 0.80 they are 9. Pairs beyond it that share a bucket are confirmed too: a pair shares none
+with probability 1.8e-6 at 0.85 and 2.1e-7 at 0.80.
 
 Equal sets are folded to one class first. Buckets are not expanded into pairs: in a first
 round every class meets the least and the most central class of each of its buckets, links are
 confirmed on full sets, and components are formed. In the second round only classes of buckets
 that hold several components take part. Two of them meet if they share a shingle among the
 rarest of each, at places that leave room for a link (the shingles before the first common one
-can't be common), are in different components and under the signature distance; they are
-confirmed likewise. Both conditions are necessary for a link, so no link between components
-that the signatures promise is lost.
+can't be common) and are in different components; they are confirmed likewise, whatever their
+signature distance. That is necessary for a link, so no link between components is lost that
+shares a bucket.
 """
 
 from __future__ import annotations
@@ -344,7 +345,7 @@ def near_duplicates(
     links = _confirmed(pairs, _sets(nodes, docs, names, size), percent)
     open_ = _open_classes(buckets, components(links))
     sets = _sets(open_.select("node"), docs, names, size)
-    pairs = _near(_cross_pairs(open_, sets, percent), symbols, count)
+    pairs = stored(_cross_pairs(open_, sets, percent).distinct(), "pairs")
     links = links.union(_confirmed(pairs, sets, percent))
     joined = components(links).join(names, "node", "right").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")

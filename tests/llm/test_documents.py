@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from keepsight.llm import packing, ppm, toxicity
+from keepsight.llm import language, near_duplicates as near, packing, ppm, toxicity
 from keepsight.llm.language import identify_language
 from keepsight.llm.mixing import mix, mix_report
 from keepsight.llm.near_duplicates import near_duplicates
@@ -232,6 +232,22 @@ def test_near_duplicates_by_hand(documents):
             assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_near_duplicates_beyond_the_signature_distance(documents, monkeypatch):
+    monkeypatch.setattr(near, "bands", lambda percent: 2)
+    rows, beyond = [], 0
+    for i in range(0, 600, 2):
+        words = [f"w{i}x{k}" for k in range(104)]
+        texts = [" ".join(words), " ".join([*words[:96], *(f"y{i}x{k}" for k in range(8))])]
+        a, b = (near.signature(near.shingle_set(t), 8).reshape(2, 4) for t in texts)
+        wrong = (a != b).sum(axis=1)
+        if wrong.sum() >= 4 and wrong.min() <= 1:
+            beyond += 1
+            rows += [(i, texts[0], "en", "s"), (i + 1, texts[1], "en", "s")]
+    assert beyond
+    found = near_duplicates(documents(rows)).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
+
+
 def test_near_duplicates_empty(documents):
     assert near_duplicates(documents([])).count() == 0
     found = near_duplicates(documents([(3, None, "en", "s"), (1, "", "en", "s")])).collect()
