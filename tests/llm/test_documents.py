@@ -165,6 +165,10 @@ def test_language_held_out(sample, rows):
     assert right / len(held) > 0.9
 
 
+def test_language_learns_from_a_large_sample():
+    assert language.SAMPLE_DOCUMENTS >= 4000
+
+
 def test_language_odd_rows(documents):
     found = identify_language(documents(ODD)).collect()
     assert len(found) == len(ODD)
