@@ -16,6 +16,7 @@ from keepsight.llm.packing import pack
 from keepsight.llm.ppm import score_documents
 from keepsight.llm.quality import judge_quality
 from keepsight.llm.store import table
+from keepsight.llm.token_counts import count_tokens
 from keepsight.llm.toxicity import score_toxicity
 from keepsight.llm.url_rules import judge_urls
 
@@ -28,6 +29,7 @@ URL_RULES = [
     ("com", "/de/", "block"),
 ]
 VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 QUERY_EVERY = 50
 
 
@@ -57,6 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": lambda spark, d: judge_quality(table(spark, d, "documents")),
     "op9_language_model": lambda spark, d: score_documents(table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mix_report(table(spark, d, "documents")).drop("shards"),
+    "op11_token_counts": lambda spark, d: count_tokens(
+        table(spark, d, "documents"), vocabulary_path(BYTE_VOCABULARY)
+    ),
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
