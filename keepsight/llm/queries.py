@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keepsight.llm.html_text import extract_text
 from keepsight.llm.language import identify_language
+from keepsight.llm.merkle import audit, merkle_manifest
 from keepsight.llm.mixing import mix_report
 from keepsight.llm.near_duplicates import near_duplicates
 from keepsight.llm.neighbours import nearest_neighbours
@@ -62,12 +63,90 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_token_counts": lambda spark, d: count_tokens(
         table(spark, d, "documents"), vocabulary_path(BYTE_VOCABULARY)
     ),
+    "op12_merkle_manifest": lambda spark, d: audit(merkle_manifest(table(spark, d, "documents"))),
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: crc32 of a decimal id in SQL: a table of the 256 bytes, then a fold over the id's digits.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC_TABLE = f"""
+crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: {_CRC_STEP}, i) ORDER BY i) AS crcs
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def _crc32(column: str) -> str:
+    digits = f"list_transform(string_split({column}::varchar, ''), lambda d: ascii(d)::bigint)"
+    step = "xor(c >> 8, crcs[xor(c, d) % 256 + 1])"
+    return f"xor(list_reduce({digits}, lambda c, d: {step}, 4294967295::bigint), 4294967295)"
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_framed, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
 ORACLES: dict[str, str] = {
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE {_CRC_TABLE.strip()},
+leaves AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("doc_id")} % 3 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS tampered,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM documents, crc_table),
+nodes(lang, level, i, n, digest) AS (
+  SELECT lang, 0, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, i // 8, n),
+tops AS (
+  SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+upper_nodes(level, i, n, digest) AS (
+  SELECT 0, i, n, digest FROM tops
+  UNION ALL
+  SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY i))
+  FROM upper_nodes WHERE n > 1 GROUP BY level, i // 8, n),
+root AS (SELECT digest AS root FROM upper_nodes WHERE n = 1),
+every AS (
+  SELECT lang, level, i, n, digest, false AS up FROM nodes
+  UNION ALL SELECT NULL, level, i, n, digest, true FROM upper_nodes),
+spans AS (
+  SELECT doc_id, leaf, tampered, l.lang, l.i, t.i AS top, t.digest AS subroot,
+    (SELECT max(level) FROM nodes x WHERE x.lang IS NOT DISTINCT FROM l.lang) AS depth,
+    (SELECT max(level) FROM upper_nodes) AS upper_depth
+  FROM leaves l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang),
+places AS (
+  SELECT doc_id, leaf, unnest(range(depth)) AS step, false AS up, lang, i, unnest(range(depth)) AS level FROM spans
+  UNION ALL
+  SELECT doc_id, leaf, depth + unnest(range(upper_depth)), true, NULL, top, unnest(range(upper_depth)) FROM spans),
+ways AS (
+  SELECT p.doc_id, p.leaf, p.step,
+    coalesce(string_agg(e.digest, '' ORDER BY e.i) FILTER (WHERE e.i < p.i), '') AS before,
+    coalesce(string_agg(e.digest, '' ORDER BY e.i) FILTER (WHERE e.i > p.i), '') AS after
+  FROM (SELECT * REPLACE (i // (8 ** level)::bigint AS i) FROM places) p
+  JOIN every e ON p.up = e.up AND p.level = e.level AND p.lang IS NOT DISTINCT FROM e.lang AND p.i // 8 = e.i // 8
+  GROUP BY ALL),
+proofs AS (
+  SELECT doc_id, leaf, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256
+  FROM ways GROUP BY doc_id, leaf),
+folded(doc_id, leaf, step, digest) AS (
+  SELECT doc_id, leaf, 0, coalesce(tampered, leaf) FROM spans
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.step + 1, sha256(before || digest || after)
+  FROM folded f JOIN ways w ON f.doc_id = w.doc_id AND f.leaf = w.leaf AND f.step = w.step)
+SELECT s.doc_id, s.leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+  f.digest AS folded_root, f.digest = root AS verified
+FROM spans s CROSS JOIN root
+LEFT JOIN proofs p ON s.doc_id = p.doc_id AND s.leaf = p.leaf
+JOIN folded f ON s.doc_id = f.doc_id AND s.leaf = f.leaf AND f.step = depth + upper_depth
+""",
     "op4_url_filter": f"""
 WITH rules(h, p, v) AS (VALUES {_RULE_ROWS}),
 cut AS (
