@@ -15,6 +15,7 @@ from keepsight.llm.near_duplicates import near_duplicates
 from keepsight.llm.neighbours import nearest_neighbours
 from keepsight.llm.packing import pack
 from keepsight.llm.ppm import score_documents
+from keepsight.llm.prefix_trie import conversation_trie
 from keepsight.llm.quality import judge_quality
 from keepsight.llm.store import table
 from keepsight.llm.token_counts import count_tokens
@@ -64,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, d, "documents"), vocabulary_path(BYTE_VOCABULARY)
     ),
     "op12_merkle_manifest": lambda spark, d: audit(merkle_manifest(table(spark, d, "documents"))),
+    "op13_prefix_trie": lambda spark, d: conversation_trie(table(spark, d, "conversations"), rebuilt=True),
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
@@ -188,5 +190,41 @@ reach(doc_id, other) AS (
   SELECT reach.doc_id, both_ways.q FROM reach JOIN both_ways ON reach.other = both_ways.p)
 SELECT sets.doc_id, len(s) AS n_shingles, least_id AS component_id, sets.doc_id = least_id AS kept
 FROM sets JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USING (doc_id)
+""",
+    "op13_prefix_trie": f"""
+WITH {_CRC_TABLE.strip()},
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32("conv_id")} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc_table),
+turns AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS d
+  FROM (
+    SELECT c.conv_id, 0 AS part, o.i, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.i <= h
+    UNION ALL
+    SELECT c.conv_id, 1, o.i, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.i > h)),
+whole AS (
+  SELECT c.conv_id, coalesce(list([role, text] ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS t
+  FROM convs c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id),
+prefixes AS (SELECT conv_id, unnest(range(len(t) + 1)) AS depth, t FROM whole),
+named AS (SELECT conv_id, depth, t[1:depth] AS node, len(t) = depth AS ends FROM prefixes),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+      ELSE len(regexp_extract_all(node[depth][2], '[^\x20\x09-\x0D]+')) END AS saved
+  FROM named GROUP BY node, depth),
+family AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+    (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.node[1:n.depth] = n.node) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1])
+SELECT a.conv_id, a.depth, any_value(a.parent_conv_id) AS parent_conv_id, any_value(a.n_convs) AS n_convs,
+  any_value(a.n_children) AS n_children, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves,
+  sum(b.saved)::bigint AS saved_tokens, any_value(a.ends_sha256) AS ends_sha256
+FROM family a JOIN family b ON b.node[1:a.depth] = a.node AND b.depth >= a.depth
+GROUP BY a.conv_id, a.depth
 """,
 }
