@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
+from operator import mul
 
 import pyarrow as pa
 import regex
@@ -157,10 +158,9 @@ def _sum(path: str, common, schema: pa.Schema) -> Task:
             sums, rare, times = [], [], []
             for text in batch.column(1):
                 found, tokens = cutter.frequencies(text.as_py() or "")
-                other = found.keys() - pieces.keys()
-                rare.append(list(other))
+                rare.append([token for token in found if token not in pieces])
                 times.append([found.pop(token) for token in rare[-1]])
-                tokens += sum(pieces[token] * n for token, n in found.items())
+                tokens += sum(map(mul, map(pieces.__getitem__, found), found.values()))
                 sums.append(tokens)
             yield pa.RecordBatch.from_arrays(
                 [
