@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keepsight.llm.order import ranked, running_sums
 from keepsight.llm.store import WORD_GAP, stored
 
 BLOCKS = 256
@@ -65,24 +66,22 @@ def targets(sources: DataFrame) -> DataFrame:
     Targets are water levels: a source gets its cap (`MOST_TIMES` its size) or a common level
     times its weight, whichever is less.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    weight = F.element_at(
-        F.array(*map(F.lit, WEIGHTS)), ((F.row_number().over(order) - 1) % len(WEIGHTS) + 1).cast("int")
-    )
-    cap = (MOST_TIMES * F.col("source_size")).cast("double")
-    s = sources.withColumn("weight", weight.cast("double")).withColumn("cap", cap)
-    full = F.col("cap") / F.col("weight")
-    below = Window.orderBy(full, "tag").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    left = F.sum("source_size").over(whole) * (PERCENT / 100) - F.coalesce(
-        F.sum("cap").over(below), F.lit(0.0)
-    )
-    weights = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(below), F.lit(0.0))
+    s = sources.withColumn("all", F.lit(0))
+    s = ranked(s, "all", [F.col("source").isNull(), F.col("source")], "sources")
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("rank") % len(WEIGHTS) + 1).cast("int"))
+    s = s.withColumn("weight", weight.cast("double")).drop("rank", "size")
+    s = s.withColumn("cap", (MOST_TIMES * F.col("source_size")).cast("double"))
+    s = s.withColumn("full", F.col("cap") / F.col("weight"))
+    # In the order in which a rising level fills them; a source's level is that with all before it full.
+    s = ranked(s, "all", [F.col("full"), F.col("tag")], "levels").drop("size")
+    s = s.withColumns({"cap_before": F.col("cap"), "weight_before": F.col("weight")})
+    s = stored(running_sums(s, "all", "rank", ["cap_before", "weight_before"], own=False), "levels")
+    left = s.agg(F.sum("source_size") * (PERCENT / 100)).scalar() - F.col("cap_before")
+    weights = s.agg(F.sum("weight")).scalar() - F.col("weight_before")
     s = s.withColumn("level", left / weights)
-    level = F.min(F.when(F.col("level") < full, F.struct(full.alias("full"), "level"))).over(whole)
-    return s.withColumn("target", F.least("cap", F.coalesce(level["level"] * F.col("weight"), "cap"))).select(
-        "tag", "source_size", "target"
-    )
+    found = s.where("level < full").agg(F.min_by("level", "rank")).scalar()
+    target = F.least("cap", F.coalesce(found * F.col("weight"), "cap"))
+    return s.select("tag", "source_size", target.alias("target"))
 
 
 def _units(sizes: DataFrame, goals: DataFrame) -> DataFrame:

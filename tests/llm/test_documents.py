@@ -10,7 +10,7 @@ import pytest
 
 from keepsight.llm import language, near_duplicates as near, packing, ppm, toxicity
 from keepsight.llm.language import identify_language
-from keepsight.llm.mixing import mix, mix_report
+from keepsight.llm.mixing import mix, mix_report, targets
 from keepsight.llm.near_duplicates import near_duplicates
 from keepsight.llm.packing import WordEncoder, class_lengths, pack
 from keepsight.llm.quality import judge_quality
@@ -423,6 +423,17 @@ def test_mixing_reaches_targets(documents, rows):
     assert all(times[d] == len(found[d].shards) for d in found)
 
 
+@pytest.mark.parametrize("sources", [7, 50, 5000])
+def test_targets_of_sources_that_tie(table, sources):
+    sizes = {f"s{i:04}": 160 for i in range(sources)}
+    rows = [("=" + s, s, n) for s, n in sizes.items()]
+    found = targets(table(rows, "tag string, source string, source_size long").repartition(3)).collect()
+    goals = targets_by_hand(sizes)
+    assert len(found) == sources
+    assert all(math.isclose(r.target, goals[r.tag[1:]], rel_tol=1e-9) for r in found)
+    assert math.isclose(sum(r.target for r in found), 1.5 * 160 * sources, rel_tol=1e-9)
+
+
 def test_mixing_odd_rows(documents):
     found = mix_report(documents(ODD)).collect()
     assert len(found) == len(ODD) and all(r.taken <= 2 * r["size"] for r in found)
