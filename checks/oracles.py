@@ -368,9 +368,10 @@ SELECT customer_id // 100 AS chunk, string_agg(customer_id::VARCHAR, ',' ORDER B
 """)
 
 ORACLES["tier_id_texts"] = _sql(["plans", "subscriptions"], f"""{FREE}
-SELECT left(customer_id::VARCHAR, 2) AS prefix,
-       string_agg(customer_id::VARCHAR, ', ' ORDER BY customer_id::VARCHAR) AS customer_ids
-FROM free_accounts GROUP BY ALL
+SELECT (place - 1) // 100 AS chunk, string_agg(id, ', ' ORDER BY id) AS customer_ids
+FROM (SELECT customer_id::VARCHAR AS id, row_number() OVER (ORDER BY customer_id::VARCHAR) AS place
+      FROM free_accounts)
+GROUP BY ALL
 """)
 
 # ---------------------------------------------------------------- events

@@ -121,6 +121,64 @@ def rank_within(
     )
 
 
+def in_ranges(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """The rows, pinned, with `_range` and their place `_at` in it, along (by, order).
+
+    Rows are dealt out by ranges of all of `by` and `order`, so a group of any size is many ranges.
+    Rows that are equal in them, whose order does not matter, are spread by a hash.
+    """
+    keys = [*[F.col(c) for c in by], *order, F.col("_spread")]
+    place = F.monotonically_increasing_id()
+    ranges = (
+        df.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_spread")
+    )
+    return pin(ranges.withColumns({"_at": place, "_range": F.shiftright(place, 33)}))
+
+
+def numbered(
+    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str
+) -> DataFrame:
+    """``row_number() - 1`` per group as `name`, for groups of any size; no `by` is one group.
+
+    No task holds more than a range of the rows: a row's number is its place in its range after
+    the group's rows in lower ranges.
+    """
+    placed = in_ranges(df, by, order)
+    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(*by, "_range")
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_ahead", F.coalesce(F.sum("_rows").over(lower), F.lit(0)))
+    )
+    number = F.col("_at") - F.col("_first") + F.col("_ahead")
+    return match_keys(placed, starts, [*by, "_range"], "inner").select(*df.columns, number.alias(name))
+
+
+def previous_value(
+    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str, name: str
+) -> DataFrame:
+    """``lag(value)`` per group along `order` as `name`, for groups of any size.
+
+    The lag runs inside a range of the rows; the first row of a range takes the last value of
+    the group's range before.
+    """
+    placed = in_ranges(df, by, order)
+    inside = Window.partitionBy(*by, "_range").orderBy("_at")
+    along = Window.partitionBy(*by).orderBy("_range")
+    ends = (
+        placed.groupBy(*by, "_range")
+        .agg(F.min("_at").alias("_first"), F.max_by(value, "_at").alias("_end"))
+        .withColumn("_carried", F.lag("_end").over(along))
+        .drop("_end")
+    )
+    rows = placed.withColumn("_before", F.lag(value).over(inside))
+    picked = F.when(F.col("_at") == F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
+    return match_keys(rows, ends, [*by, "_range"], "inner").select(*df.columns, picked.alias(name))
+
+
 def value_counts(df: DataFrame, by: Sequence[str], value: str, *more: Column) -> DataFrame:
     """Pinned frequency table of the non-NULL values per group; `more` adds aggregates."""
     return pin(

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepsight.functions import as_wall_clock, half_up, month_of, months_before, ratio
-from keepsight.operators.ordered import rank_within
-from keepsight.operators.relational import last_row, previous_value
+from keepsight.operators.intervals import interval_join
+from keepsight.operators.ordered import numbered, previous_value, rank_within
+from keepsight.operators.relational import last_row
 from keepsight.session import pin
 
 # Rank of the plan tiers (unknown tiers rank 0) and the alert text.
@@ -161,8 +162,8 @@ def downgrades_after_tickets(
     same tier. Tickets count from `lookback_days` before the downgrade date up to its first
     instant; k downgrades of a customer on one date each show k times the tickets.
 
-    Tickets are first folded to one row per customer and day, so a downgrade date meets at
-    most `lookback_days` + 1 rows however many tickets the customer raised.
+    Tickets are first folded to one row per customer and day, downgrades to one row per customer,
+    date and pair of plans. Days and dates meet by blocks of `lookback_days`, two a date.
     """
     first_day, last_day = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
 
@@ -171,9 +172,8 @@ def downgrades_after_tickets(
     ).filter(F.col("customer_id").isNotNull() & (F.col("start_date") <= last_day))
     moves = previous_value(
         history,
-        "customer_id",
-        month_of(F.col("start_date")),
-        ["start_date", "subscription_id"],
+        ["customer_id"],
+        [F.col("start_date"), F.col("subscription_id"), F.col("plan_id")],
         "plan_id",
         "previous_plan_id",
     ).filter(F.col("start_date") >= first_day)
@@ -190,19 +190,21 @@ def downgrades_after_tickets(
     cheaper = (F.col("curr_level") == F.col("prev_level")) & (
         F.col("curr_price") < F.col("prev_price")
     )
+    plan_pair = ["prev_plan_id", "prev_plan", "prev_price", "curr_plan_id", "curr_plan", "curr_price"]
+    # At most a row per pair of plans is left of a customer's moves on one date.
+    folded = moves.groupBy(
+        "customer_id",
+        F.col("start_date").alias("downgrade_date"),
+        F.col("previous_plan_id").alias("prev_plan_id"),
+        F.col("plan_id").alias("curr_plan_id"),
+    ).agg(F.count(F.lit(1)).alias("moves"))
+    same_date = Window.partitionBy("customer_id", "downgrade_date")
     downgrades = (
-        moves.join(plan_side("curr"), F.col("plan_id") == F.col("curr_plan_id"))
-        .join(plan_side("prev"), F.col("previous_plan_id") == F.col("prev_plan_id"))
+        folded.join(plan_side("curr"), "curr_plan_id")
+        .join(plan_side("prev"), "prev_plan_id")
         .filter(lower_tier | cheaper)
-        .select(
-            "customer_id",
-            "subscription_id",
-            F.col("start_date").alias("downgrade_date"),
-            F.col("prev_plan").alias("previous_plan"),
-            F.col("curr_plan").alias("current_plan"),
-            "prev_price",
-            "curr_price",
-        )
+        .select("customer_id", "downgrade_date", "moves", *plan_pair)
+        .withColumn("same_day_moves", F.sum("moves").over(same_date))
     )
 
     created = F.col("created_at")
@@ -216,33 +218,34 @@ def downgrades_after_tickets(
             F.count_if(created == F.to_date(created).cast("timestamp_ntz")).alias("first_instant"),
         )
     )
-    dates = downgrades.groupBy("customer_id", "downgrade_date").agg(
-        F.count(F.lit(1)).alias("same_day_moves")
-    )
-    in_window = F.col("ticket_day").between(
-        F.date_sub("downgrade_date", lookback_days), F.col("downgrade_date")
-    )
     day_count = F.when(F.col("ticket_day") < F.col("downgrade_date"), F.col("whole_day")).otherwise(
         F.col("first_instant")
     )
-    loads = (
-        dates.join(daily, "customer_id")
-        .filter(in_window)
-        .groupBy("customer_id", "downgrade_date", "same_day_moves")
+    date_number = F.unix_date("downgrade_date")
+    loaded = (
+        interval_join(
+            daily,
+            downgrades,
+            ["customer_id"],
+            F.unix_date("ticket_day"),
+            date_number - lookback_days,
+            date_number,
+            max(lookback_days, 1),
+        )
+        .groupBy("customer_id", "downgrade_date", "moves", "same_day_moves", *plan_pair)
         .agg((F.sum(day_count) * F.col("same_day_moves")).alias("tickets_before_downgrade"))
         .filter(F.col("tickets_before_downgrade") >= min_tickets)
-        .drop("same_day_moves")
     )
-    lost = F.col("prev_price") - F.col("curr_price")
     return (
-        downgrades.join(loads, ["customer_id", "downgrade_date"])
-        .join(customers.select("customer_id", "company_name", "industry"), "customer_id")
-        .withColumn("monthly_revenue_lost", lost)
+        loaded.join(customers.select("customer_id", "company_name", "industry"), "customer_id")
+        .withColumn("monthly_revenue_lost", F.col("prev_price") - F.col("curr_price"))
+        .withColumn("move", F.explode(F.sequence(F.lit(1).cast("bigint"), "moves")))
         .orderBy(
             F.desc_nulls_first("monthly_revenue_lost"),
             "customer_id",
             "downgrade_date",
-            "subscription_id",
+            "prev_plan_id",
+            "curr_plan_id",
         )
         .select(
             "customer_id",
@@ -250,8 +253,8 @@ def downgrades_after_tickets(
             "industry",
             "downgrade_date",
             "tickets_before_downgrade",
-            "previous_plan",
-            "current_plan",
+            F.col("prev_plan").alias("previous_plan"),
+            F.col("curr_plan").alias("current_plan"),
             "prev_price",
             "curr_price",
             "monthly_revenue_lost",
@@ -361,17 +364,21 @@ def id_arrays(ids: DataFrame, chunk: int = 10_000) -> DataFrame:
     )
 
 
-def id_texts(ids: DataFrame, prefix: int = 4, separator: str = ", ") -> DataFrame:
-    """The ids as text in text order, joined by `separator`, one row per common prefix.
+def id_texts(ids: DataFrame, chunk: int = 10_000, separator: str = ", ") -> DataFrame:
+    """The ids as text in text order, joined by `separator`: rows of `chunk` ids, numbered from 0.
 
-    Ids sorted as text stay sorted when they are cut by their first `prefix` digits, so the
-    texts of all rows in order are the one joined list. With ids of d digits a row holds at
-    most about 10 ** (d - prefix) ids; raise `prefix` for longer ids.
+    The texts of all rows in order, joined by the separator, are the one list. Every row but the
+    last holds exactly `chunk` ids, however many digits they have.
     """
-    text = F.col("customer_id").cast("string")
-    return (
+    texts = (
         ids.filter(F.col("customer_id").isNotNull())
-        .groupBy(F.substring(text, 1, prefix).alias("prefix"))
-        .agg(F.array_join(F.sort_array(F.collect_set(text)), separator).alias("customer_ids"))
-        .orderBy("prefix")
+        .select(F.col("customer_id").cast("string").alias("id"))
+        .distinct()
+    )
+    entry = F.struct("number", "id")
+    return (
+        numbered(texts, [], [F.col("id")], "number")
+        .groupBy(F.floor(F.col("number") / chunk).alias("chunk"))
+        .agg(F.array_join(F.sort_array(F.collect_list(entry))["id"], separator).alias("customer_ids"))
+        .orderBy("chunk")
     )

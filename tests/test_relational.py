@@ -8,7 +8,6 @@ from keepsight.operators.relational import (
     first_row,
     last_row,
     match_keys,
-    previous_value,
     top_k,
 )
 from tests.helpers import rows
@@ -50,15 +49,6 @@ def test_broadcast_only_below_the_limit(spark):
     assert "broadcast" not in plan(broadcast_below(df, 2))
 
 
-def test_previous_value_equals_one_window(table):
-    rng = random.Random(1)
-    data = [(rng.randint(0, 3), i, rng.randint(0, 60), rng.choice([None, 1, 2])) for i in range(300)]
-    df = table(data, "k int, id int, d int, v int")
-    got = previous_value(df, "k", F.floor(F.col("d") / 7), ["d", "id"], "v", "prev")
-    plain = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("d", "id")))
-    assert sorted(rows(got), key=str) == sorted(rows(plain), key=str)
-
-
 def test_ties_do_not_depend_on_partitions(table):
     df = table([(1, 5, "x"), (1, 5, "y"), (1, 5, None)], "k int, o int, v string")
     for parts in (1, 3):

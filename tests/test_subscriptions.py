@@ -209,5 +209,15 @@ def test_tier_ids(table, plans):
     ids = subs.tier_customers(held, plans)
     assert sorted(r[0] for r in rows(ids)) == [9, 10, 100, 101]
     assert rows(subs.id_arrays(ids, chunk=50)) == [(0, [9, 10]), (2, [100, 101])]
-    texts = [r[1] for r in rows(subs.id_texts(ids, prefix=2))]
-    assert ", ".join(texts) == "10, 100, 101, 9"
+    texts = rows(subs.id_texts(ids, chunk=3))
+    assert texts == [(0, "10, 100, 101"), (1, "9")]
+
+
+def test_id_texts_of_long_ids(table):
+    ids = [9_000_000_000 + 7 * i for i in range(500)] + [3, 30, -5]
+    df = table([(i,) for i in [*ids, *ids[:50], None]], "customer_id long").repartition(6)
+    texts = rows(subs.id_texts(df, chunk=64))
+    assert [chunk for chunk, _ in texts] == list(range(8))
+    assert all(len(text.split(", ")) == 64 for _, text in texts[:-1])
+    assert ", ".join(text for _, text in texts) == ", ".join(sorted(map(str, ids)))
+    assert rows(subs.id_texts(df.limit(0))) == []
