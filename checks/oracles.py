@@ -389,6 +389,23 @@ SELECT cid AS customer_id, mid AS member_id, CAST(tick AS VARCHAR) AS ts, event_
        raw_feature AS feature, round(secs, 6) AS session_duration_sec FROM ev
 """)
 
+ORACLES["scanned_events"] = _sql(LOG, f"""{EVENTS}
+SELECT cid AS customer_id, mid AS member_id, CAST(tick AS VARCHAR) AS ts, event_type,
+       raw_feature AS feature, round(secs, 6) AS session_duration_sec FROM ev
+WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+""")
+
+ORACLES["scan_report"] = _sql(LOG, """
+kinds AS (SELECT event_id % 97 = 0 OR event_id % 89 = 0 AS bad FROM user_activity_logs)
+SELECT 'documents' AS step, count(*) FILTER (WHERE NOT bad) AS lines FROM kinds
+UNION ALL SELECT 'rejected lines', count(*) FILTER (WHERE bad) FROM kinds
+""")
+
+ORACLES["first_featured_document"] = _sql(LOG, """
+featured AS (SELECT event_id, event_type, feature FROM user_activity_logs WHERE feature IS NOT NULL)
+SELECT * FROM featured WHERE event_id = (SELECT min(event_id) FROM featured)
+""")
+
 ORACLES["document_presence"] = _sql(LOG, """
 names AS (SELECT concat_ws(',', if(customer_id_snake IS NULL, NULL, 'customer_id'),
                            if(customer_id_camel IS NULL, NULL, 'customerId'),
@@ -406,7 +423,7 @@ UNION ALL SELECT 'complete', count(*) FROM ev
   WHERE cid IS NOT NULL AND mid IS NOT NULL AND tick IS NOT NULL
 """)
 
-ORACLES["weekly_sessions"] = _sql(LOG, f"""{EVENTS},
+WEEKLY = f"""{EVENTS},
 weeks AS (SELECT cid, mid, isoyear(tick) AS y, week(tick) AS w, count(*) AS c,
                  avg(secs) AS s
           FROM ev WHERE tick IS NOT NULL AND cid IS NOT NULL AND mid IS NOT NULL GROUP BY ALL),
@@ -414,11 +431,24 @@ placed AS (SELECT *, count(*) OVER (PARTITION BY cid, mid) AS n, row_number() OV
              PARTITION BY cid, mid ORDER BY s NULLS FIRST) - 1 AS i FROM weeks),
 people AS (SELECT cid, mid, avg(c) AS c, max(s) FILTER (WHERE i = floor(n * 0.25)) AS s25,
                   max(s) FILTER (WHERE i = floor(n * 0.5)) AS s50,
-                  max(s) FILTER (WHERE i = floor(n * 0.75)) AS s75 FROM placed GROUP BY ALL)
-SELECT cid AS customer_id, round(avg(c), 6) AS avg_sessions_per_user_per_week,
-       round(avg(s25), 6) AS p25_session_dur_sec, round(avg(s50), 6) AS p50_session_dur_sec,
-       round(avg(s75), 6) AS p75_session_dur_sec, count(*) AS user_count
-FROM people GROUP BY cid ORDER BY round(avg(c), 9) DESC, cid LIMIT 100
+                  max(s) FILTER (WHERE i = floor(n * 0.75)) AS s75 FROM placed GROUP BY ALL),
+busiest AS (
+  SELECT cid AS customer_id, round(avg(c), 6) AS avg_sessions_per_user_per_week,
+         round(avg(s25), 6) AS p25_session_dur_sec, round(avg(s50), 6) AS p50_session_dur_sec,
+         round(avg(s75), 6) AS p75_session_dur_sec, count(*) AS user_count
+  FROM people GROUP BY cid ORDER BY round(avg(c), 9) DESC, cid LIMIT 100)
+"""
+
+ORACLES["weekly_sessions"] = _sql(LOG, f"""{WEEKLY}
+SELECT * FROM busiest
+""")
+
+ORACLES["weekly_sessions_by_tier"] = _sql(["plans", "subscriptions", *LOG], f"""{WEEKLY},
+tiers AS (
+  SELECT customer_id, plan_tier FROM subscriptions JOIN plans USING (plan_id)
+  QUALIFY row_number() OVER (PARTITION BY customer_id
+    ORDER BY start_date DESC NULLS LAST, subscription_id DESC) = 1)
+SELECT busiest.*, plan_tier FROM busiest LEFT JOIN tiers USING (customer_id)
 """)
 
 ORACLES["feature_retention"] = _sql(LOG, f"""{EVENTS},
@@ -461,6 +491,10 @@ FROM stages x JOIN stages y ON y.pos = x.pos + 1
 """)
 
 
+ORACLES["document_funnel"] = ORACLES["funnel_stages"]
+ORACLES["document_funnel_dropoff"] = ORACLES["funnel_dropoff"]
+
+
 def _upsell(feature: str, gate: str) -> str:
     where = "cid IN (SELECT customer_id FROM free_accounts)"
     return _sql(LOG_AND_FREE, f"""{FREE}, {EVENTS},
@@ -616,6 +650,9 @@ ORACLES["assign_segments"] = _master(
     "SELECT customer_id, high_ticket, ticket_bucket, segment_label FROM master"
 )
 ORACLES["dashboard_clean"] = _master("SELECT * FROM export", "," + DASHBOARD)
+ORACLES["dashboard_csv"] = _master(
+    "SELECT *, CAST(NULL AS VARCHAR) AS rejected_row FROM export", "," + DASHBOARD
+)
 ORACLES["null_profile"] = _master(NULL_ROWS, "," + DASHBOARD)
 ORACLES["null_verdict"] = _master("""
 SELECT (SELECT count(*) FROM master) AS row_count, count(nulls_before) AS columns_before,

@@ -419,6 +419,11 @@ def events_of(
     return df.filter(match)
 
 
+def find_one(df: DataFrame, condition: Column, order: Sequence[str | Column]) -> DataFrame:
+    """The first row in a total `order` for which the condition holds; no row if there is none."""
+    return df.filter(condition).orderBy(*order).limit(1)
+
+
 def sample_rows(
     df: DataFrame, columns: Sequence[str], n: int = 5, order: Sequence[str] = ()
 ) -> DataFrame:

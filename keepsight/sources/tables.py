@@ -30,6 +30,19 @@ SCHEMAS = {
     "team_members": "customer_id bigint, email string",
 }
 
+# Quotes are doubled and white space is kept, as spreadsheets write and read them.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+# What the reader puts for a quoted empty field, which it would otherwise take for NULL.
+QUOTED_EMPTY = "\x00"
+
 # The names under which event documents carry the two ids. They differ in
 # case only, so they are paths into a variant, never column names.
 CUSTOMER_FIELDS = ("customer_id", "customerId", "customerID")
@@ -47,9 +60,32 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floats}) if floats else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass over the data)."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    rejected: str | None = None,
+    **options: str,
+) -> DataFrame:
+    """CSV with a header and an explicit schema (no inference pass over the data).
+
+    Fields may hold quotes, separators and line feeds, so a file is read by one task: files that
+    `write_csv` wrote are as many as it had tasks. A row that does not fit the schema fails the
+    read; with `rejected` its text is kept in a column of that name and the row's unreadable
+    fields are NULL.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    checked = {"multiLine": True, "enforceSchema": False, "emptyValue": QUOTED_EMPTY}
+    reader = spark.read.options(**{**CSV_OPTIONS, **checked, **options})
+    if rejected is None:
+        df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
+    else:
+        wide = T.StructType([*schema.fields, T.StructField(rejected, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rejected)
+        df = reader.schema(wide).csv(path)
+    texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    empty = {c: F.when(F.col(c) == QUOTED_EMPTY, "").otherwise(F.col(c)) for c in texts}
+    return df.withColumns(empty) if texts else df
 
 
 def read_query(
@@ -81,8 +117,8 @@ def read_query(
     )
 
 
-def _path(field: str, kind: str) -> Column:
-    return F.try_variant_get(F.col("doc"), f"$.{field}", kind)
+def _path(field: str, kind: str, of: str = "doc") -> Column:
+    return F.try_variant_get(F.col(of), f"$.{field}", kind)
 
 
 def documents(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -101,9 +137,33 @@ def document_report(lines: DataFrame, column: str = "value") -> DataFrame:
     return counts.unpivot([], ["lines", "not JSON"], "step", "documents")
 
 
+def scan_documents(spark: SparkSession, path: str) -> DataFrame:
+    """NDJSON files as `doc` (variant) and `rejected` (the text of a line that is no document).
+
+    A document is a JSON object. Blank lines are skipped. Every other line is one row with one
+    of the two columns, so the rejected ones can be kept, counted and mended.
+    """
+    schema = "doc variant, _corrupt_record string"
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    reader = reader.option("singleVariantColumn", "doc")
+    is_object = F.try_variant_get(F.col("doc"), "$", "map<string,variant>").isNotNull()
+    return reader.json(path).select(
+        F.when(is_object, F.col("doc")).alias("doc"),
+        F.coalesce("_corrupt_record", F.when(~is_object, F.to_json("doc"))).alias("rejected"),
+    )
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """NDJSON file with one variant column, whatever fields the documents carry."""
-    return documents(spark.read.text(path))
+    """The documents of NDJSON files in one variant column, whatever fields they carry."""
+    return scan_documents(spark, path).select("doc").filter(F.col("doc").isNotNull())
+
+
+def scan_report(scanned: DataFrame) -> DataFrame:
+    """Documents and rejected lines of `scan_documents`."""
+    counts = scanned.agg(
+        F.count("doc").alias("documents"), F.count("rejected").alias("rejected lines")
+    )
+    return counts.unpivot([], counts.columns, "step", "lines")
 
 
 def document_fields(docs: DataFrame, fields: Mapping[str, str]) -> DataFrame:
@@ -113,42 +173,91 @@ def document_fields(docs: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     )
 
 
+# The keys under which exported documents write a number of a certain type.
+TYPED_NUMBERS = ("$numberInt", "$numberLong", "$numberDouble", "$numberDecimal")
+
+
 def _first_present(fields: Sequence[str]) -> Column:
-    """First field that is there, plain or in the typed form of an exported number."""
-    forms = [f"{f}{form}" for f in fields for form in (".$numberInt", ".$numberLong", "")]
-    return F.coalesce(*[_path(f, "string") for f in forms]).try_cast("bigint")
+    """The first field that is there and no explicit null, as a variant."""
+    found = [_path(f, "variant") for f in fields]
+    return F.coalesce(*[F.when(~F.is_variant_null(v), v) for v in found])
 
 
-def _document_time() -> Column:
+def _whole_number(name: str) -> Column:
+    """A variant column as a whole number, by value: a fraction is cut off.
+
+    It is a number in any notation, an object with the text of a typed number, or text of a
+    whole number; anything else is NULL.
+    """
+    typed = F.try_variant_get(F.col(name), "$", "map<string,string>")
+    text = F.coalesce(*[F.try_element_at(typed, F.lit(key)) for key in TYPED_NUMBERS])
+    by_value = text.try_cast("decimal(38,9)").try_cast("bigint")
+    return F.coalesce(F.try_variant_get(F.col(name), "$", "bigint"), by_value)
+
+
+def _document_time(name: str = "time") -> Column:
     """Plain text, or the ``{"$date": ...}`` form of an exported native date."""
-    texts = [_path(f, "string") for f in ("timestamp.$date", "timestamp")]
-    millis = _path("timestamp.$date.$numberLong", "string").try_cast("bigint")
+    texts = [_path("$date", "string", name), F.try_variant_get(F.col(name), "$", "string")]
+    millis = _path("$date.$numberLong", "string", name).try_cast("bigint")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     native = epoch + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)"))
     return F.coalesce(native, reduce(F.coalesce, [parse_wall_clock(t) for t in texts]))
 
 
+def _looked_up(docs: DataFrame, *fields: Column) -> DataFrame:
+    """The fields of each document as columns that later filters do not look up again.
+
+    As the row of a one-row table; a projection would be copied into each filter above it.
+    """
+    return docs.select(F.inline(F.array(F.struct(*fields))))
+
+
 def activity_events(docs: DataFrame) -> DataFrame:
-    """Normalised activity events from variant documents."""
-    return docs.select(
-        _first_present(CUSTOMER_FIELDS).alias("customer_id"),
-        _first_present(MEMBER_FIELDS).alias("member_id"),
-        _document_time().alias("ts"),
+    """Normalised activity events from variant documents; every field is looked up once."""
+    found = _looked_up(
+        docs,
+        _first_present(CUSTOMER_FIELDS).alias("customer"),
+        _first_present(MEMBER_FIELDS).alias("member"),
+        _path("timestamp", "variant").alias("time"),
         _path("event_type", "string").alias("event_type"),
         _path("feature", "string").alias("feature"),
         _path("session_duration_sec", "double").alias("session_duration_sec"),
     )
+    return found.select(
+        _whole_number("customer").alias("customer_id"),
+        _whole_number("member").alias("member_id"),
+        _document_time().alias("ts"),
+        "event_type",
+        "feature",
+        "session_duration_sec",
+    )
 
 
-def onboarding_events(docs: DataFrame) -> DataFrame:
-    """Normalised onboarding events from variant documents."""
-    return docs.select(
-        _first_present(MEMBER_FIELDS).alias("member_id"),
-        _document_time().alias("ts"),
+def onboarding_events(docs: DataFrame, id_field: str | None = None) -> DataFrame:
+    """Normalised onboarding events from variant documents; `id_field` is kept as a number."""
+    ids = [_path(id_field, "bigint").alias(id_field)] if id_field else []
+    found = _looked_up(
+        docs,
+        *ids,
+        _first_present(MEMBER_FIELDS).alias("member"),
+        _path("timestamp", "variant").alias("time"),
         _path("step", "string").alias("step"),
         F.coalesce(_path("completed", "boolean"), F.lit(False)).alias("completed"),
         _path("duration_seconds", "double").alias("duration_seconds"),
     )
+    return found.select(
+        *[id_field] * bool(id_field),
+        _whole_number("member").alias("member_id"),
+        _document_time().alias("ts"),
+        "step",
+        "completed",
+        "duration_seconds",
+    )
+
+
+def has_field(field: str) -> Column:
+    """Whether a document carries the field, an explicit null included."""
+    return _path(field, "variant").isNotNull()
 
 
 def document_presence(docs: DataFrame, fields: Sequence[str] = CUSTOMER_FIELDS) -> DataFrame:
@@ -158,7 +267,7 @@ def document_presence(docs: DataFrame, fields: Sequence[str] = CUSTOMER_FIELDS)
 
     The result has one row per combination: the present fields as text, and the count.
     """
-    names = [F.when(_path(f, "variant").isNotNull(), F.lit(f)) for f in fields]
+    names = [F.when(has_field(f), F.lit(f)) for f in fields]
     return (
         docs.groupBy(F.concat_ws(",", *names).alias("present_fields"))
         .agg(F.count(F.lit(1)).alias("documents"))
@@ -171,6 +280,9 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header, for tools outside Spark."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, **options: str) -> None:
+    """CSV part files with a header, for tools outside Spark.
+
+    NULL is an empty field and empty text is quoted, so `read_csv` tells them apart.
+    """
+    df.write.mode("overwrite").options(**{**CSV_OPTIONS, **options}).csv(path)

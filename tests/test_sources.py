@@ -43,6 +43,62 @@ def test_documents_with_names_that_differ_in_case(docs):
     assert got[0][4] == "f" and got[2][3] == "view" and got[4][5] == 12.0
 
 
+IDS = {
+    "7": 7, "-7": -7, "7.5": 7, "7e0": 7, "-7.9": -7, '"7"': 7, '" 7 "': 7, '"7.5"': None, '"x"': None, '""': None,
+    '{"$numberInt": "7"}': 7, '{"$numberLong": "9007199254740993"}': 9007199254740993,
+    '{"$numberDouble": "7.0"}': 7, '{"$numberDouble": "7.9"}': 7, '{"$numberDouble": "NaN"}': None,
+    '{"$numberDecimal": "7.0E0"}': 7, '{"other": "7"}': None, "[7]": None, "null": None, "1e300": None,
+    "9007199254740993": 9007199254740993,
+}
+
+
+def test_ids_of_documents_by_value(table):
+    lines = [(f'{{"customerID": {text}, "memberId": {text}, "timestamp": "2024-01-0{1 + i % 9}"}}',) for i, text in enumerate(IDS)]
+    docs = tables.documents(table(lines, "value string"))
+    got = rows(tables.activity_events(docs), "customer_id", "member_id")
+    assert got == [(number, number) for number in IDS.values()]
+    assert rows(tables.onboarding_events(docs), "member_id") == [(number,) for number in IDS.values()]
+
+
+def test_first_id_that_is_there_decides(table):
+    lines = [
+        ('{"customer_id": "x", "customerId": 5}',),
+        ('{"customer_id": null, "customerId": {"$numberInt": "5"}, "customerID": 6}',),
+        ("{}",),
+    ]
+    docs = tables.documents(table(lines, "value string"))
+    assert rows(tables.activity_events(docs), "customer_id") == [(None,), (5,), (None,)]
+
+
+@pytest.fixture
+def scanned(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text('{"a": 1}\nnot json\n\n[1,2]\n"text"\nnull\n{"a": 1, "a": 2}\n{"a":\n{"b": {"c": null}}\n  \n')
+    return tables.scan_documents(spark, str(path))
+
+
+def test_scan_keeps_rejected_lines(scanned):
+    got = rows(scanned.select(F.to_json("doc"), "rejected"))
+    assert [doc for doc, _ in got if doc] == ['{"a":1}', '{"b":{"c":null}}']
+    assert [line for _, line in got if line] == ["not json", "[1,2]", '"text"', "null", '{"a": 1, "a": 2}', '{"a":']
+    assert all((doc is None) != (line is None) for doc, line in got)
+    assert rows(tables.scan_report(scanned)) == [("documents", 2), ("rejected lines", 6)]
+
+
+def test_scan_of_an_empty_file(spark, tmp_path):
+    (tmp_path / "none.json").write_text("")
+    scanned = tables.scan_documents(spark, str(tmp_path / "none.json"))
+    assert rows(tables.scan_report(scanned)) == [("documents", 0), ("rejected lines", 0)]
+    assert tables.read_documents(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_find_one(docs):
+    order = [F.try_variant_get("doc", "$.customerId", "int").desc()]
+    found = events.find_one(docs, tables.has_field("customerId"), order)
+    assert rows(tables.document_fields(found, {"id": "customerId int"})) == [(5,)]
+    assert events.find_one(docs, tables.has_field("none"), order).count() == 0
+
+
 def test_document_presence(docs):
     assert rows(tables.document_presence(docs)) == [
         ("customerID", 1),
@@ -79,11 +135,42 @@ def test_nan_is_read_as_null(spark, table, tmp_path):
     assert by_key(tables.read_parquet(spark, path), "i", "d") == {1: (None,), 2: (1.5,), 3: (None,)}
 
 
-def test_csv(spark, table, tmp_path):
+CSV_ROWS = [
+    (1, 'a,b "quoted" \'single\'', 1.5, True, datetime(2024, 1, 2, 3, 4, 5, 678901)),
+    (2, "two\nlines\r\nand\ttabs", None, None, None),
+    (3, "", -0.1, False, datetime(1995, 1, 1)),
+    (4, None, 1e-9, True, None),
+    (5, "  blanks  ", 123456789.125, False, datetime(2024, 1, 1)),
+    (6, "back\\slash", 0.0, None, None),
+    (7, '"', 0.0, None, None),
+]
+CSV_SCHEMA = "i int, s string, d double, b boolean, t timestamp_ntz"
+
+
+def test_csv_round_trip(spark, table, tmp_path):
     path = str(tmp_path / "c")
-    df = table([(1, "a,b"), (2, None)], "i int, s string")
+    df = table(CSV_ROWS, CSV_SCHEMA).repartition(3)
     tables.write_csv(df, path)
-    assert by_key(tables.read_csv(spark, path, "i int, s string"), "i", "s") == by_key(df, "i", "s")
+    assert sorted(rows(tables.read_csv(spark, path, CSV_SCHEMA))) == CSV_ROWS
+    kept = tables.read_csv(spark, path, CSV_SCHEMA, rejected="bad")
+    assert sorted(rows(kept)) == [(*r, None) for r in CSV_ROWS]
+
+
+def test_csv_rows_that_do_not_fit(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text('i,s\n1,"a\nb"\nx,c\n3\n4,d,e\n')
+    got = rows(tables.read_csv(spark, str(path), "i int, s string", rejected="bad"))
+    assert got[0] == (1, "a\nb", None)
+    assert [r[2] for r in got[1:]] == ["x,c", "3", "4,d,e"]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        tables.read_csv(spark, str(path), "i int, s string").collect()
+
+
+def test_csv_header_must_be_the_schemas(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("s,i\na,1\n")
+    with pytest.raises(Exception, match="header|schema"):
+        tables.read_csv(spark, str(path), "i int, s string").collect()
 
 
 @pytest.mark.parametrize("name", tables.SCHEMAS)
