@@ -638,12 +638,18 @@ FROM filled
 """)
 
 ORACLES["merge_report"] = _master("""
-SELECT 1::BIGINT AS step_number, 'clean customers' AS step, count(*) AS row_count
-FROM tidy_customers
-UNION ALL SELECT 2, 'latest subscriptions', count(*) FROM newest
-UNION ALL SELECT 3, 'customers with tickets', count(*) FROM loads
-UNION ALL SELECT 4, 'customers with activity', count(*) FROM account_use
-UNION ALL SELECT 5, 'master dataset', count(*) FROM master
+SELECT 1::BIGINT AS step_number, 'latest subscriptions' AS merged_part,
+       (SELECT count(*) FROM newest) AS part_rows, (SELECT count(*) FROM tidy_customers) AS rows_before,
+       count(*) AS rows_after, count(n.customer_id) AS rows_matched
+FROM tidy_customers c LEFT JOIN newest n USING (customer_id)
+UNION ALL
+SELECT 2, 'ticket summary', (SELECT count(*) FROM loads), (SELECT count(*) FROM tidy_customers),
+       count(*), count(l.customer_id)
+FROM tidy_customers c LEFT JOIN newest n USING (customer_id) LEFT JOIN loads l USING (customer_id)
+UNION ALL
+SELECT 3, 'engagement', (SELECT count(*) FROM account_use), (SELECT count(*) FROM tidy_customers),
+       (SELECT count(*) FROM master), count(a.cid)
+FROM tidy_customers c LEFT JOIN account_use a ON a.cid = c.customer_id
 """)
 ORACLES["master_dataset"] = _master(f"SELECT {MASTER_OUT} FROM master")
 ORACLES["assign_segments"] = _master(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keepsight.functions import half_even, steady_mean
@@ -51,24 +52,72 @@ def customer_engagement(members: DataFrame) -> DataFrame:
     )
 
 
+class MergeCounts:
+    """Rows around each merge of `merge_sources`, counted by the pass that computes its result.
+
+    The counts are metrics of the running plan, so nothing is stored or computed for them. They
+    are there once an action has read the merged rows, and belong to the first such action. A
+    stage that Spark runs again after losing an executor is counted again; a merge is in order
+    only if `rows_after` equals `rows_before`, and a report that is not calls for another run.
+    """
+
+    PARTS = ("latest subscriptions", "ticket summary", "engagement")
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str, *more: Column) -> DataFrame:
+        """`df`, counted as it is computed."""
+        self._seen[name] = Observation(name)
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"), *more)
+
+    def _found(self, name: str) -> dict[str, int]:
+        """A watched frame's counts; Spark leaves a frame out of the running plan once it is empty."""
+        try:
+            return self._seen[name].get
+        except Py4JJavaError:
+            return {"rows": 0, "matched": 0}
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """Per merge the part's rows, the rows before and after it, and those with a match.
+
+        Waits for an action on the merged rows.
+        """
+        before = self._found("customers")["rows"]
+        rows = []
+        for number, part in enumerate(self.PARTS, start=1):
+            merged = self._found(f"with {part}")
+            part_rows = self._found(part)["rows"]
+            rows.append((number, part, part_rows, before, merged["rows"], merged["matched"]))
+            before = merged["rows"]
+        names = "step_number int, merged_part string, part_rows long, rows_before long"
+        return spark.createDataFrame(rows, f"{names}, rows_after long, rows_matched long")
+
+
 def merge_sources(
     customers: DataFrame,
     latest_subscriptions: DataFrame,
     ticket_summary: DataFrame,
     engagement: DataFrame,
+    counts: MergeCounts | None = None,
 ) -> DataFrame:
     """One row per clean customer with subscription, tickets and engagement.
 
     Customers without tickets or events get zeros there; satisfaction and member count stay
     NULL. Every input has one row per customer, so no join repeats a row or has a hot key.
+    `counts` watches the merges.
     """
-    merged = (
-        customers.join(
-            latest_subscriptions.select("customer_id", *SUBSCRIPTION_COLUMNS), "customer_id", "left"
-        )
-        .join(ticket_summary, "customer_id", "left")
-        .join(engagement, "customer_id", "left")
-    )
+    subscriptions = latest_subscriptions.select("customer_id", *SUBSCRIPTION_COLUMNS)
+    parts = (subscriptions, ticket_summary, engagement)
+    merged = counts.watch(customers, "customers") if counts else customers
+    for name, part in zip(MergeCounts.PARTS, parts, strict=True):
+        if counts is None:
+            merged = merged.join(part, "customer_id", "left")
+            continue
+        part = counts.watch(part, name).withColumn("_matched", F.lit(True))
+        merged = merged.join(part, "customer_id", "left")
+        matched = F.count("_matched").alias("matched")
+        merged = counts.watch(merged, f"with {name}", matched).drop("_matched")
     zeros = {
         name: F.coalesce(F.col(name), F.lit(0).cast(merged.schema[name].dataType))
         for name in (
@@ -210,17 +259,6 @@ def kpis(master: DataFrame) -> DataFrame:
     )
 
 
-def row_counts(steps: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each step of a flow, in the order given."""
-    counts = None
-    for number, (step, df) in enumerate(steps.items(), start=1):
-        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(number).alias("step_number"), F.lit(step).alias("step"), "row_count"
-        )
-        counts = part if counts is None else counts.unionByName(part)
-    return counts.orderBy("step_number")
-
-
 def engagement_coverage(master: DataFrame) -> DataFrame:
     """Customers with and without any engagement."""
     return master.agg(

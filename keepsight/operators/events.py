@@ -22,7 +22,7 @@ from keepsight.functions import (
     steady_mean,
 )
 from keepsight.operators.ordered import quantiles
-from keepsight.operators.relational import match_keys, top_k
+from keepsight.operators.relational import match_keys, may_be_in, top_k
 from keepsight.session import pin
 
 # The onboarding steps in funnel order.
@@ -38,9 +38,6 @@ FUNNEL_STEPS = (
 FREQUENCY_WEIGHT, BREADTH_WEIGHT, DEPTH_WEIGHT = 0.40, 0.30, 0.30
 FULL_FEATURES, FULL_SESSION_SEC = 10, 3600
 
-# Longest id list that is sent to every task (8 bytes an id).
-SHORT_LIST = 500_000
-
 
 def first_id(df: DataFrame, aliases: Sequence[str]) -> Column:
     """First non-NULL alias as a whole number.
@@ -308,22 +305,23 @@ def upsell_targets(
     `gate` = (days, events, features) keeps members that reach any of the three. Normalise the
     events with ``feature_fallback=True`` to count event types as features.
 
-    Events are never shuffled for the list: a short one is broadcast to them, a long one is
-    joined to the member rows after the events are folded.
+    Lists of any length are one plan: a Bloom filter of the ids thins the events as they are
+    read, and the ids are joined to the members after the events are folded.
     """
     complete = events.filter(F.col("ts").isNotNull() & F.col("member_id").isNotNull())
     if ids is None:
         members = member_rollup(complete)
     else:
-        wanted = pin(ids.select("customer_id").distinct())
-        length = wanted.count()
-        if length == 0 and all_if_empty:
-            members = member_rollup(complete)
-        elif length <= SHORT_LIST:
-            members = member_rollup(complete.join(F.broadcast(wanted), "customer_id", "left_semi"))
-        else:
-            # An inner join on distinct ids, as a semi-join would be moved below the grouping.
-            members = member_rollup(complete).join(wanted, "customer_id")
+        wanted = ids.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
+        no_list = wanted.agg(F.count(F.lit(1)) == 0).scalar() if all_if_empty else F.lit(False)
+        thinned = complete.filter(no_list | may_be_in(F.col("customer_id"), wanted))
+        listed = wanted.withColumn("_listed", F.lit(True))
+        members = (
+            member_rollup(thinned)
+            .join(listed, "customer_id", "left")
+            .filter(no_list | F.col("_listed"))
+            .drop("_listed")
+        )
     if gate is not None:
         days, count, features = gate
         members = members.filter(

@@ -72,3 +72,38 @@ def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in keys]
     )
     return left.join(renamed, on, how).drop(*[f"_right_{c}" for c in keys])
+
+
+#: Words of 64 bits of a Bloom filter: 1 MB, whatever the number of keys.
+BLOOM_WORDS = 1 << 17
+BLOOM_BITS = 4
+
+
+def _bloom_place(key: Column) -> tuple[Column, Column]:
+    """The word of a key and its bits in it."""
+    word = F.pmod(F.xxhash64(key), F.lit(BLOOM_WORDS))
+    hashed = F.xxhash64(F.lit(BLOOM_BITS), key)
+    one = F.lit(1).cast("bigint")
+    bits = [
+        F.call_function("shiftleft", one, F.shiftright(hashed, 6 * i).bitwiseAND(F.lit(63)).cast("int"))
+        for i in range(BLOOM_BITS)
+    ]
+    return word, reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def may_be_in(key: Column, keys: DataFrame) -> Column:
+    """Whether a key may be one of `keys` (one column): true for each that is, and a few others.
+
+    A Bloom filter of fixed size, built and read inside the plan. Some 2 % of the other keys
+    pass for a million keys; with far more of them most pass, so it only saves work, and an exact
+    join has to follow. Never true or false for a NULL key, which no key equals.
+    """
+    name = keys.columns[0]
+    word, bits = _bloom_place(F.col(name))
+    found = keys.filter(F.col(name).isNotNull()).select(word.alias("word"), bits.alias("bits"))
+    every = keys.sparkSession.range(BLOOM_WORDS).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = found.union(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    filter_ = words.agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"]).scalar()
+    word, bits = _bloom_place(key)
+    held = F.get(filter_, word.cast("int")).bitwiseAND(bits) == bits
+    return F.when(key.isNotNull(), held)

@@ -91,44 +91,40 @@ class RetentionFlow:
     def customer_engagement(self) -> DataFrame:
         return customers.customer_engagement(self.member_engagement)
 
-    @cached_property
-    def master(self) -> DataFrame:
+    def _merged(self, counts: customers.MergeCounts | None = None) -> DataFrame:
         return customers.assign_segments(
             customers.merge_sources(
                 self.clean_customers,
                 self.latest_subscriptions,
                 self.ticket_summary,
                 self.customer_engagement,
+                counts,
             )
         )
 
+    @cached_property
+    def master(self) -> DataFrame:
+        return self._merged()
+
     @cached_property
     def stored_master(self) -> DataFrame:
         """The master dataset written once, for reports that read it more than once."""
         return pin(self.master)
 
+    @cached_property
+    def merge_counts(self) -> customers.MergeCounts:
+        return customers.MergeCounts()
+
+    @cached_property
+    def counted_master(self) -> DataFrame:
+        """The master dataset; the first action on it fills `merge_counts`."""
+        return self._merged(self.merge_counts)
+
     @cached_property
     def merge_report(self) -> DataFrame:
-        """Rows of every part that is merged, and of the result: one per clean customer."""
-        parts = [
-            pin(part)
-            for part in (
-                self.clean_customers,
-                self.latest_subscriptions,
-                self.ticket_summary,
-                self.customer_engagement,
-            )
-        ]
-        names = (
-            "clean customers",
-            "latest subscriptions",
-            "customers with tickets",
-            "customers with activity",
-        )
-        merged = customers.merge_sources(*parts)
-        return customers.row_counts(
-            {**dict(zip(names, parts, strict=True)), "master dataset": merged}
-        )
+        """Rows before and after every merge, counted in one pass over the master dataset."""
+        self.counted_master.write.format("noop").mode("overwrite").save()
+        return self.merge_counts.report(self.inputs.customers.sparkSession)
 
     @cached_property
     def cleaning_report(self) -> DataFrame:
@@ -182,12 +178,12 @@ def run(inputs: Inputs, folder: str) -> None:
     """Write the master dataset once, then every report and the dashboard export from it."""
     flow = RetentionFlow(inputs)
     spark = inputs.customers.sparkSession
-    write_table(flow.master, f"{folder}/master")
+    write_table(flow.counted_master, f"{folder}/master")
     master = read_parquet(spark, f"{folder}/master")
     for name, report in MASTER_REPORTS.items():
         write_table(report(master), f"{folder}/{name}")
     write_table(flow.cleaning_report, f"{folder}/cleaning_report")
-    write_table(flow.merge_report, f"{folder}/merge_report")
+    write_table(flow.merge_counts.report(spark), f"{folder}/merge_report")
     clean = dashboard.dashboard_clean(master)
     write_csv(master, f"{folder}/master_csv")
     write_csv(clean, f"{folder}/dashboard_csv")

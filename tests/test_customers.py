@@ -64,6 +64,41 @@ def test_merge(merged):
     assert rows(customers.engagement_coverage(merged)) == [(3, 1, 2)]
 
 
+def test_merges_are_counted_as_they_run(spark, table):
+    people = clean_customers(table([customer(i) for i in range(1, 6)], schema_of("customers")), ["company_name"])
+    plan = ("free", "Free", 0.0, "active", date(2020, 1, 1), None, "monthly", None)
+    latest = table([(1, *plan), (2, *plan), (2, *plan), (9, *plan), (None, *plan)], LATEST)
+    loads = "customer_id bigint, ticket_count bigint, avg_satisfaction double, escalated_count bigint"
+    members = (
+        "customer_id bigint, member_id bigint, total_events bigint, days_active bigint, "
+        "feature_count bigint, avg_session_sec double, engagement_score double"
+    )
+    parts = (latest, table([(2, 4, 2.5, 1)], loads), customers.customer_engagement(table([], members)))
+    counts = customers.MergeCounts()
+    merged = customers.merge_sources(people, *parts, counts)
+    assert merged.columns == customers.merge_sources(people, *parts).columns
+    assert len(merged.collect()) == 6  # a part with two rows of a customer repeats them
+    assert rows(counts.report(spark)) == [
+        (1, "latest subscriptions", 5, 5, 6, 3),
+        (2, "ticket summary", 1, 6, 6, 2),
+        (3, "engagement", 0, 6, 6, 0),
+    ]
+
+
+def test_merges_of_no_customers_are_counted(spark, table):
+    people = clean_customers(table([], schema_of("customers")), ["company_name"])
+    loads = "customer_id bigint, ticket_count bigint, avg_satisfaction double, escalated_count bigint"
+    members = (
+        "customer_id bigint, member_id bigint, total_events bigint, days_active bigint, "
+        "feature_count bigint, avg_session_sec double, engagement_score double"
+    )
+    counts = customers.MergeCounts()
+    parts = (table([], LATEST), table([(2, 4, 2.5, 1)], loads), customers.customer_engagement(table([], members)))
+    assert customers.merge_sources(people, *parts, counts).collect() == []
+    got = rows(counts.report(spark), "rows_before", "rows_after", "rows_matched")
+    assert got == [(0, 0, 0)] * 3
+
+
 def test_master_has_all_columns(merged):
     master = customers.assign_segments(merged)
     assert len(master.columns) == 34

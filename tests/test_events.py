@@ -144,18 +144,30 @@ def test_each_gate_alone_is_enough(table, gate):
     assert events.upsell_targets(table(data, EVENTS), gate=gate).count() == 1
 
 
-def test_long_id_list_gives_the_same(table, monkeypatch):
+def test_id_lists_of_any_length(spark, table):
     data = [event(i, i / 3, customer=i % 5, member=i % 7) for i in range(60)]
-    df, ids = table(data, EVENTS), table([(1,), (3,), (77,), (3,)], "customer_id bigint")
-    short = rows(events.upsell_targets(df, ids))
-    monkeypatch.setattr(events, "SHORT_LIST", 0)
-    assert rows(events.upsell_targets(df, ids)) == short and short
+    data += [event(100 + i, i, customer=None, member=i) for i in range(3)]
+    df, ids = table(data, EVENTS), table([(1,), (3,), (77,), (3,), (None,)], "customer_id bigint")
+    short = rows(events.upsell_targets(df, ids, top=None))
+    assert {r[0] for r in short} == {1, 3}
+    many = spark.range(1000, 300_000).union(spark.createDataFrame([(1,), (3,)], "id long"))
+    assert rows(events.upsell_targets(df, many.toDF("customer_id"), top=None)) == short
+    plain = df.join(ids.dropna().distinct(), "customer_id", "left_semi")
+    assert rows(events.upsell_targets(plain, top=None)) == short
+
+
+def test_list_thins_the_events_before_they_are_shuffled(table):
+    df, ids = table([event(1)], EVENTS), table([(1,)], "customer_id bigint")
+    plan = events.upsell_targets(df, ids)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan[plan.index("RepartitionByExpression") :]
 
 
 def test_empty_id_list(table):
     df, none = table([event(1)], EVENTS), table([], "customer_id bigint")
     assert rows(events.upsell_targets(df, none)) == []
     assert len(rows(events.upsell_targets(df, none, all_if_empty=True))) == 1
+    nulls = table([(None,)], "customer_id bigint")
+    assert len(rows(events.upsell_targets(df, nulls, all_if_empty=True))) == 1
 
 
 def test_activity_by_member(table):

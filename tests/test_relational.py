@@ -8,6 +8,7 @@ from keepsight.operators.relational import (
     first_row,
     last_row,
     match_keys,
+    may_be_in,
     top_k,
 )
 from tests.helpers import rows
@@ -55,3 +56,18 @@ def test_ties_do_not_depend_on_partitions(table):
         dealt = df.repartition(parts, "v")
         assert rows(first_row(dealt, ["k"], ["o"]), "v") == [(None,)]
         assert rows(last_row(dealt, ["k"], ["o"]), "v") == [("y",)]
+
+
+def test_bloom_filter_holds_every_key_and_few_others(spark):
+    keys = spark.range(0, 40_000, 2).toDF("k")
+    told = spark.range(80_000).select("id", may_be_in(F.col("id"), keys).alias("in"))
+    got = told.groupBy((F.col("id") % 2 == 0) & (F.col("id") < 40_000)).agg(F.avg(F.col("in").cast("int")))
+    shares = dict(rows(got))
+    assert shares[True] == 1.0 and shares[False] < 0.001
+
+
+def test_bloom_filter_of_no_keys_and_null_keys(table):
+    df = table([(1,), (None,)], "id long")
+    none = df.filter("false").toDF("k")
+    assert rows(df.select(may_be_in(F.col("id"), none))) == [(False,), (None,)]
+    assert rows(df.select(may_be_in(F.col("id"), df.toDF("k")))) == [(True,), (None,)]
