@@ -354,8 +354,21 @@ FROM pairs JOIN customers x ON x.customer_id = p JOIN customers y ON y.customer_
 WHERE d + s + m >= 2
 """)
 
-ORACLES["name_similarity_join"] = _sql(["customers"], GRAMS + """
-SELECT p AS cust_a, q AS cust_b, round(sim, 6) AS name_similarity FROM alike
+ORACLES["name_similarity_join"] = _sql(["customers"], GRAMS + """,
+labels AS (SELECT customer_id, lower(trim(company_name)) AS name FROM named),
+totals AS (SELECT name, min(customer_id) AS first, count(*) AS accounts FROM labels GROUP BY name),
+found AS (
+  SELECT least(x.name, y.name) AS name_a, greatest(x.name, y.name) AS name_b, count(*) AS account_pairs,
+         round(max(sim), 6) AS similarity
+  FROM alike JOIN labels x ON x.customer_id = p JOIN labels y ON y.customer_id = q GROUP BY 1, 2)
+SELECT name_a, name_b, x.first AS first_a, y.first AS first_b, x.accounts AS accounts_a,
+       y.accounts AS accounts_b, account_pairs, similarity
+FROM found JOIN totals x ON x.name = name_a JOIN totals y ON y.name = name_b
+""")
+
+ORACLES["name_similarity_members"] = _sql(["customers"], """
+mailed AS (SELECT * FROM customers WHERE length(contact_email) > 0)
+SELECT customer_id, lower(trim(company_name)) AS name FROM mailed WHERE company_name IS NOT NULL
 """)
 
 ORACLES["tier_customers"] = _sql(
