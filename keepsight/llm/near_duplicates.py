@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import combinations
 from math import comb
 
 import numpy as np
@@ -144,22 +143,27 @@ def _full_sets(size: int):
 
 
 def _keys(count: int) -> Column:
-    """One bucket key for each band and each of its symbols that may be wrong."""
-    keys = []
-    for band in range(count):
-        places = [F.col("symbols")[band * BAND_SYMBOLS + i].cast("long") for i in range(BAND_SYMBOLS)]
-        for kept in combinations(range(BAND_SYMBOLS), BAND_SYMBOLS - 1):
-            key = F.lit(len(keys)).cast("long")
-            for place in kept:
-                key = F.shiftleft(key, SYMBOL_BITS).bitwiseOR(places[place])
-            keys.append(key)
-    return F.explode(F.array(*keys)).alias("key")
-
-
-def _distance(a: str, b: str, symbols: int) -> Column:
+    """One bucket key for each band and each of its symbols that may be wrong.
+
+    A function over the keys' numbers, as one term a key would make plans of many pages.
+    """
+
+    def key(number: Column) -> Column:
+        wrong = number % BAND_SYMBOLS
+        first = number - wrong
+        out = number.cast("long")
+        for place in range(BAND_SYMBOLS - 1):
+            kept = first + place + (wrong <= place).cast("int")
+            out = F.shiftleft(out, SYMBOL_BITS).bitwiseOR(F.get("symbols", kept).cast("long"))
+        return out
+
+    numbers = F.sequence(F.lit(0), F.lit(count * BAND_SYMBOLS - 1))
+    return F.explode(F.transform(numbers, key)).alias("key")
+
+
+def _distance(a: str, b: str) -> Column:
     """Number of symbols in which two signatures differ."""
-    wrong = [(F.col(a)[i] != F.col(b)[i]).cast("int") for i in range(symbols)]
-    return sum(wrong[1:], wrong[0])
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda wrong: wrong))
 
 
 def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -195,7 +199,7 @@ def _near(pairs: DataFrame, symbols: DataFrame, count: int) -> DataFrame:
     """Distinct pairs under the signature distance that bands with one error guarantee."""
     left = symbols.select(F.col("node").alias("a"), F.col("symbols").alias("x"))
     right = symbols.select(F.col("node").alias("b"), F.col("symbols").alias("y"))
-    under = _distance("x", "y", count * BAND_SYMBOLS) < 2 * count
+    under = _distance("x", "y") < 2 * count
     near = pairs.distinct().join(left, "a").join(right, "b").where(under)
     return stored(near.select("a", "b"), "pairs")
 
@@ -343,10 +347,12 @@ def near_duplicates(
     pairs = _near(_star_pairs(buckets), symbols, count)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     links = _confirmed(pairs, _sets(nodes, docs, names, size), percent)
-    open_ = _open_classes(buckets, components(links))
+    first = components(links)
+    open_ = _open_classes(buckets, first)
     sets = _sets(open_.select("node"), docs, names, size)
     pairs = stored(_cross_pairs(open_, sets, percent).distinct(), "pairs")
-    links = links.union(_confirmed(pairs, sets, percent))
+    # The first round's components are links to their least class, so they are not formed again.
+    links = first.where("node != label").toDF("a", "b").union(_confirmed(pairs, sets, percent))
     joined = components(links).join(names, "node", "right").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")
     )
