@@ -45,8 +45,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select("doc_id").where("doc_id is not null")
     kept = stored(kept.distinct(), "kept")
     named = docs.withColumn("text_hash", F.xxhash64("text"))
-    chosen = named.join(kept, "doc_id", "left_semi").union(named.where("doc_id is null"))
-    return chosen.dropDuplicates(["doc_id", "text_hash"]).select(docs.columns)
+    # Dealt out by id once: copies are dropped where the decisions met the rows.
+    chosen = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    unnamed = named.where("doc_id is null").dropDuplicates(["text_hash"])
+    return chosen.union(unnamed).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
