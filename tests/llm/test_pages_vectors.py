@@ -70,6 +70,24 @@ def test_neighbours_recall_and_copies(table):
     assert [i for _, i, _ in found[2010]] == [2011]
 
 
+def test_neighbours_ties_of_one_direction(table):
+    rows = [(i, [0.1 * (i + 1) * x for x in (1.0, -2.0, 0.3)]) for i in range(20)]
+    rows += [(i, [2.0, 1.0, float(i)]) for i in range(20, 30)]
+    df = table(rows, "vec_id long, embedding array<double>")
+    got = nearest_neighbours(df, F.col("vec_id") == 0, shard_rows=4, query_rows=1).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [1, 2, 3, 4, 5]
+    assert all(abs(r.score - 1) < 1e-12 for r in got)
+
+
+def test_neighbours_ties_of_many_directions(table):
+    # all rows but the query are equally near to it, in shards of a few nodes
+    rows = [(0, [1.0, 0.0, 0.0])]
+    rows += [(i, [1.0, math.cos(i), math.sin(i)]) for i in range(1, 40)]
+    df = table(rows, "vec_id long, embedding array<double>")
+    got = nearest_neighbours(df, F.col("vec_id") == 0, shard_rows=10, query_rows=1).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [1, 2, 3, 4, 5]
+
+
 def test_neighbours_empty(table):
     df = table([], "vec_id long, embedding array<float>")
     assert nearest_neighbours(df, F.col("vec_id") % 5 == 0).count() == 0
