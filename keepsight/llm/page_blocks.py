@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import xxhash
@@ -20,15 +19,18 @@ HIDDEN = frozenset(
     "head title script style noscript template textarea svg math iframe object canvas audio video "
     "select option button form".split()
 )
+#: How an element is hidden; a main part inside a form that wraps the page is not.
+SHOWN, IN_FORM, HIDES = range(3)
 ASIDE = frozenset("nav footer aside menu dialog".split())
 MAIN = frozenset("article main".split())
-#: Words of names that hint at parts beside the text; all words of a class, id or role must be such.
+#: Words of names that hint at parts beside the text; all other words of the name must be neutral.
 BESIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "consent cookie cookies disqus footer header login masthead menu modal nav navbar navigation "
     "newsletter notice notices pagination popup promo promotion recommended related replies search "
     "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+NEUTRAL_WORDS = frozenset("area block box container inner list outer section slot unit user wrap wrapper".split())
 MAIN_WORDS = frozenset("article content main entry story".split())
 
 _TOKEN = re.compile(
@@ -47,22 +49,22 @@ _PARTS = re.compile(r"[a-z]+")
 @dataclass(frozen=True, slots=True)
 class Element:
     tag: str
-    #: Path of block elements down to this one; numbers in names are alike.
-    role: str
+    #: Number of the path of block elements down to this one; digits in names are alike.
+    role: int
     beside: bool
     main: bool
     link: bool
     inline: bool
     #: Inside an element whose content is never text.
-    hidden: bool
+    hidden: int
 
 
-ROOT = Element("", "", False, False, False, False, False)
+ROOT = Element("", 0, False, False, False, False, SHOWN)
 
 
 @dataclass(slots=True)
 class Block:
-    role: str
+    role: int
     text: str
     #: Characters of the text that are links.
     link_chars: int
@@ -73,9 +75,25 @@ class Block:
         return xxhash.xxh3_64_intdigest(self.text.encode("utf-8", "surrogatepass")) - 2**63
 
 
-def _named(names: list[list[str]], words: frozenset[str]) -> bool:
-    """Whether a name (given by its words) consists of such words alone."""
-    return any(name and words.issuperset(name) for name in names)
+@dataclass(slots=True)
+class Token:
+    """A role or a text of a page: how often it comes, and its place among all tokens at first."""
+
+    #: Role of the element around; None for texts.
+    parent: int | None
+    at: int
+    times: int = 0
+
+
+def role_of(parent: int, name: str) -> int:
+    """The number of the role `name` below the role `parent` (0 at the top)."""
+    path = parent.to_bytes(8, "little", signed=True) + name.encode("utf-8", "surrogatepass")
+    return xxhash.xxh3_64_intdigest(path, seed=1) - 2**63
+
+
+def _named(names: list[list[str]], words: frozenset[str], neutral: frozenset[str] = frozenset()) -> bool:
+    """Whether a name (given by its words) consists of such words alone, but for neutral ones."""
+    return any(not words.isdisjoint(name) and all(w in words or w in neutral for w in name) for name in names)
 
 
 def _open(tag: str, rest: str, parent: Element) -> Element:
@@ -89,20 +107,26 @@ def _open(tag: str, rest: str, parent: Element) -> Element:
             names += [_PARTS.findall(one) for one in value.split()]
             name += f"[{attribute.lower()}={_DIGITS.sub('0', value)}]"
     main = parent.main or tag in MAIN or _named(names, MAIN_WORDS)
-    hidden = parent.hidden or tag in HIDDEN
-    beside = hidden or tag in ASIDE or (tag == "header" and not parent.main)
-    beside = parent.beside or beside or (tag not in ("html", "body") and _named(names, BESIDE_WORDS))
-    return Element(tag, f"{parent.role}/{name}", beside, main, parent.link, False, hidden)
+    role = role_of(parent.role, name)
+    if tag in MAIN and parent.hidden == IN_FORM:
+        return Element(tag, role, False, main, parent.link, False, SHOWN)
+    hidden = max(parent.hidden, (IN_FORM if tag == "form" else HIDES) if tag in HIDDEN else SHOWN)
+    beside = hidden != SHOWN or tag in ASIDE or (tag == "header" and not parent.main)
+    named = tag not in ("html", "body") and _named(names, BESIDE_WORDS, NEUTRAL_WORDS)
+    return Element(tag, role, parent.beside or beside or named, main, parent.link, False, hidden)
 
 
-def parse(page: str) -> tuple[list[Block], Counter[str]]:
-    """Blocks in page order, and how often each role comes."""
+def parse(page: str) -> tuple[list[Block], dict[int, Token]]:
+    """Blocks in page order, and the tokens: roles of elements and texts, in order of their first place."""
     blocks: list[Block] = []
-    roles: Counter[str] = Counter()
+    tokens: dict[int, Token] = {}
     stack = [ROOT]
     text: list[str] = []
     linked = 0
 
+    def met(token: int, parent: int | None) -> None:
+        tokens.setdefault(token, Token(parent, len(tokens))).times += 1
+
     def end_block() -> None:
         nonlocal linked
         whole = " ".join("".join(text).split())
@@ -111,6 +135,7 @@ def parse(page: str) -> tuple[list[Block], Counter[str]]:
             if not around.hidden:
                 link_chars = min(linked, len(whole))
                 blocks.append(Block(around.role, whole, link_chars, around.beside, around.main))
+                met(blocks[-1].digest(), None)
         text.clear()
         linked = 0
 
@@ -142,11 +167,11 @@ def parse(page: str) -> tuple[list[Block], Counter[str]]:
                     del stack[at:]
         element = _open(tag, token["rest"], stack[-1])
         if not element.inline:
-            roles[element.role] += 1
+            met(element.role, stack[-1].role)
         if tag not in VOID and not token["rest"].endswith("/"):
             stack.append(element)
     end_block()
-    return blocks, roles
+    return blocks, tokens
 
 
 _ALONE = frozenset("li dt dd tr td th option".split())

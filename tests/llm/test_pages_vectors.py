@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from checks.compare import connect, differences
 from keepsight.llm.html_text import extract_text
 from keepsight.llm.near_duplicates import bands
 from keepsight.llm.neighbours import nearest_neighbours
-from keepsight.llm.page_blocks import parse
+from keepsight.llm.page_blocks import parse, role_of
 from keepsight.llm.queries import ORACLES, QUERIES, URL_RULES, url_rules
 from keepsight.llm.url_rules import judge_urls
 
@@ -224,8 +225,62 @@ def test_html_slots_outweigh_main_names(table):
 
 
 def test_parse_roles():
-    blocks, roles = parse("<div class='a1'><p>x</p><p>y</p></div>")
-    assert [b.text for b in blocks] == ["x", "y"] and roles["/div[class=a0]/p"] == 2
+    blocks, tokens = parse("<div class='a1'><p>x</p><p>y</p></div>")
+    role = role_of(role_of(0, "div[class=a0]"), "p")
+    assert [b.text for b in blocks] == ["x", "y"] and tokens[role].times == 2
+    assert [b.role for b in blocks] == [role, role] and tokens[role].parent == role_of(0, "div[class=a0]")
+
+
+def test_parse_deep_nesting_in_linear_memory():
+    tracemalloc.start()
+    blocks, tokens = parse("<div>" * 100_000 + "deep")
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [b.text for b in blocks] == ["deep"] and len(tokens) == 100_001
+    assert most < 200_000_000
+
+
+def pages_of(table, page, n=12):
+    rows = [(i, f"http://a.b/{i}", page(i)) for i in range(n)]
+    return text_of(extract_text(table(rows, "page_id long, url string, html string")))
+
+
+def test_html_template_text_in_articles(table):
+    page = "<article><p>Body {i} a</p><p>Sign up to the letter</p><p>Body {i} b</p><p>Copyright by us</p></article>"
+    found = pages_of(table, lambda i: page.replace("{i}", f"x{i}"))
+    assert found == {i: f"Body x{i} a Body x{i} b" for i in range(12)}
+
+
+def test_html_text_of_most_articles_alone_stays(table):
+    # on nine of twelve pages: a class of its own, not that of the template
+    found = pages_of(
+        table, lambda i: f"<article><p>Body x{i}</p>{'<p>A saying</p>' if i < 9 else ''}<p>All rights</p></article>"
+    )
+    assert found == {i: f"Body x{i}" + (" A saying" if i < 9 else "") for i in range(12)}
+
+
+def test_html_text_without_an_order_is_no_template(table):
+    # once on every page, as the template's tokens, but not in one order with them
+    def page(i):
+        parts = ["<p>Wanders about</p>", "<h2>Part of the text</h2>"]
+        return f"<article><h1>Top x{i}</h1>{''.join(parts[:: 1 if i % 2 else -1])}<p>All rights</p></article>"
+
+    found = pages_of(table, page)
+    assert all("Wanders about" in found[i] and "All rights" not in found[i] for i in range(12))
+
+
+def test_html_copies_of_one_page_are_no_template(table):
+    found = pages_of(table, lambda i: "<article><p>The same text</p></article>")
+    assert set(found.values()) == {"The same text"}
+
+
+def test_html_comments_and_adverts_in_articles_and_page_forms(table):
+    page = (
+        "<form><article><p>Body x{i} is what the page is about, at length</p>"
+        "<div class='ad-slot-2'>Buy x{i}</div><div class='user-comments'>Me x{i}</div></article></form>"
+    )
+    found = pages_of(table, lambda i: page.replace("{i}", str(i)))
+    assert found == {i: f"Body x{i} is what the page is about, at length" for i in range(12)}
 
 
 # pipeline
