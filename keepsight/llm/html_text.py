@@ -128,7 +128,7 @@ def _places_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _slots_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with their slots, and whether their text is the template's."""
+    """The pages with the blocks' slots in place of their roles, and without the template's text."""
     for batch in batches:
         tokens, blocks, frames = (batch.column(c) for c in ("tokens", "blocks", "frame"))
         token, parent = _values(tokens, "token"), _values(tokens, "parent")
@@ -151,16 +151,18 @@ def _slots_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for j in range(edges[i], edges[i + 1]):
                 slots.append(slot[role[j]])
                 known.append(digest[j] in fixed or (not main[j] and digest[j] in repeated))
+        own = pa.array(np.flatnonzero(~np.array(known, bool)), pa.int64())
         flat = blocks.flatten()
-        names = ["text", "link_chars", "beside", "main"]
+        names = [field.name for field in flat.type if field.name not in ("role", "digest")]
         made = pa.StructArray.from_arrays(
-            [pa.array(slots, pa.int64()), *(flat.field(n) for n in names), pa.array(known, pa.bool_())],
-            names=["slot", *names, "known"],
+            [pa.array(slots, pa.int64()).take(own), *(flat.field(n).take(own) for n in names)],
+            names=["slot", *names],
         )
+        left = np.concatenate([[0], np.cumsum(~np.array(known, bool))])[edges]
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(c) for c in ("page_id", "url", "host")),
-                pa.ListArray.from_arrays(pa.array(edges, pa.int32()), made),
+                pa.ListArray.from_arrays(pa.array(left, pa.int32()), made),
             ],
             names=["page_id", "url", "host", "blocks"],
         )
@@ -281,30 +283,37 @@ def extract_text(
     )
     hosts = sizes.select("host").join(frames, "host", "left").join(stored(repeated, "repeated"), "host", "left")
     hosts = stored(hosts, "templates")
-    slotted = stored(
-        parsed.select("page_id", "url", "host", "blocks", "tokens")
-        .join(hosts, "host")
-        .mapInArrow(
-            _slots_task,
-            f"page_id {kinds[id_column]}, url {kinds[url_column]}, host string, blocks array<struct<"
-            "slot: bigint, text: string, link_chars: bigint, beside: boolean, main: boolean, known: boolean>>",
-        ),
-        "slotted",
-    )
-    own = F.filter("blocks", lambda b: ~b["known"])
+    def slotted(**columns: str) -> DataFrame:
+        """The pages with the slots of their blocks that aren't the template's, and such columns."""
+        values = ", ".join(f"{value} as {name}" for name, value in columns.items())
+        light = f"transform(blocks, b -> struct(b.role, b.digest, b.beside, b.main, {values}))"
+        own = ", ".join(f"{name}: {'string' if name == 'text' else 'bigint'}" for name in columns)
+        return (
+            parsed.select("page_id", "url", "host", F.expr(light).alias("blocks"), "tokens")
+            .join(hosts, "host")
+            .mapInArrow(
+                _slots_task,
+                f"page_id {kinds[id_column]}, url {kinds[url_column]}, host string, "
+                f"blocks array<struct<slot: bigint, beside: boolean, main: boolean, {own}>>",
+            )
+        )
+
+    # texts are not stored a second time: sizes come first, the texts with the chosen slots
     by_slot = (
-        slotted.select("host", F.explode(own).alias("b"))
+        slotted(chars="bigint(length(b.text))", links="b.link_chars")
+        .select("host", F.explode("blocks").alias("b"))
         .groupBy("host", "b.slot", "b.beside", "b.main")
-        .agg(F.sum(F.length("b.text")).alias("chars"), F.sum("b.link_chars").alias("links"))
+        .agg(F.sum("b.chars").alias("chars"), F.sum("b.links").alias("links"))
     )
     choices = stored(sizes.select("host").join(_choices(by_slot), "host", "left"), "choices")
     taken = F.coalesce("taken", F.array().cast("array<string>"))
-    kept = F.filter(own, lambda b: F.array_contains(taken, _key(b["slot"], b["beside"], b["main"])))
+    kept = F.filter("blocks", lambda b: F.array_contains(taken, _key(b["slot"], b["beside"], b["main"])))
     first = F.exists("kept", lambda b: b["main"]) & F.col("main_first")
     chosen = F.filter("kept", lambda b: ~first | b["main"])
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
     return (
-        slotted.join(choices, "host")
+        slotted(text="b.text")
+        .join(choices, "host")
         .select("page_id", "url", "main_first", kept.alias("kept"))
         .select("page_id", "url", text.alias("text"))
         .withColumn("n_chars", F.length("text").cast("bigint"))
