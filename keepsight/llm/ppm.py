@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching over bytes.
 
 The model is a trie of byte contexts of up to `ORDER` bytes, counted over all training
-documents. A symbol seen after the longest known context has probability count / (total +
-distinct); the rest, distinct / (total + distinct), is the escape to the next shorter context,
+documents. A symbol seen after the longest known context has probability (count - 1/2) / total;
+the rest, distinct / (2 * total), is the escape to the next shorter context,
 whose distribution is taken without the symbols already seen (symbol exclusion) and scaled to
 one. Below the empty context all byte values are alike.
 
@@ -139,9 +139,9 @@ def _level(
     total = np.add.reduceat(counts, first)
     unseen = 1 - np.add.reduceat(10.0**lower, first)
     # where all symbols were seen nothing is left to escape to
-    escape = np.where(unseen > 1e-9, distinct, 0)
-    chance = counts / np.repeat(total + escape, distinct)
-    scale = np.maximum(escape, 1e-300) / (total + escape) / np.maximum(unseen, 1e-9)
+    given = np.where(unseen > 1e-9, 0.5, 0)
+    chance = (counts - np.repeat(given, distinct)) / np.repeat(total, distinct)
+    scale = np.maximum(given * distinct, 1e-300) / total / np.maximum(unseen, 1e-9)
     return np.log10(chance), np.maximum(np.log10(scale), -30)
 
 

@@ -333,10 +333,9 @@ def ppm_by_hand(train, text):
             return lower
         total, distinct = sum(own.values()), len(own)
         unseen = 1 - sum(lower[s] for s in own)
-        if unseen <= 1e-9:
-            distinct = 0
+        given = 0 if unseen <= 1e-9 else 0.5
         return [
-            own[s] / (total + distinct) if s in own else distinct / (total + distinct) * lower[s] / unseen
+            (own[s] - given) / total if s in own else given * distinct / total * lower[s] / unseen
             for s in range(256)
         ]
 
