@@ -39,6 +39,23 @@ def gram_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(rows).astype(np.int64), first
 
 
+def sliding_sums(values: np.ndarray, window: int) -> np.ndarray:
+    """Sums of `window` rows (fewer at the end) from every row on, by doubling: a sum holds
+    only its own rows, so nothing cancels."""
+    total, run = np.zeros_like(values), values
+    taken, width = 0, 1
+    while width <= window:
+        if window & width:
+            if taken < len(values):
+                total[: len(values) - taken] += run[taken:]
+            taken += width
+        longer = run.copy()
+        if width < len(values):
+            longer[:-width] += run[width:]
+        run, width = longer, 2 * width
+    return total
+
+
 def _squash(a: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * a) + 0.5
 
@@ -96,8 +113,9 @@ class Network:
 
     # training
 
-    def forward(self, x: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """Logits of windows; `x`: window, step, input; `real`: which steps hold a word."""
+    def forward(self, x: np.ndarray, real: np.ndarray, pooled: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Logits of windows within runs of words; `x`: run, step, input; `real`: which steps
+        hold a word; `pooled`: which of them are the window's, one at least."""
         p, (size, steps, _) = self.p, x.shape
         order = [np.arange(steps), np.arange(steps)[::-1]]
         gates = np.stack([x[:, order[d]] @ p["w"][d] + p["b"][d] for d in (0, 1)])
@@ -113,21 +131,21 @@ class Network:
             trail.append((h, z, r, n, v[..., 2 * HIDDEN :]))
             states[:, :, t] = h = new
         both = np.concatenate([states[0], states[1][:, ::-1]], axis=2)
-        weight = np.where(real, both @ p["attend"], -1e9)
+        weight = np.where(pooled, both @ p["attend"], -1e9)
         weight = np.exp(weight - weight.max(axis=1, keepdims=True))
         weight /= weight.sum(axis=1, keepdims=True)
-        pooled = (weight[..., None] * both).sum(axis=1)
-        return pooled @ p["out"] + p["bias"], (x, mask, order, trail, both, weight, pooled)
+        mean = (weight[..., None] * both).sum(axis=1)
+        return mean @ p["out"] + p["bias"], (x, mask, order, trail, both, weight, mean)
 
     def backward(self, slope: np.ndarray, kept: tuple) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the parameters above the inputs, and of the inputs."""
-        p, (x, mask, order, trail, both, weight, pooled) = self.p, kept
-        g = {"out": pooled.T @ slope, "bias": slope.sum(keepdims=True)}
-        d_pooled = slope[:, None] * p["out"]
-        d_weight = (both * d_pooled[:, None]).sum(axis=2)
+        p, (x, mask, order, trail, both, weight, mean) = self.p, kept
+        g = {"out": mean.T @ slope, "bias": slope.sum(keepdims=True)}
+        d_mean = slope[:, None] * p["out"]
+        d_weight = (both * d_mean[:, None]).sum(axis=2)
         d_score = weight * (d_weight - (weight * d_weight).sum(axis=1, keepdims=True))
         g["attend"] = np.einsum("st,sth->h", d_score, both)
-        d_both = weight[..., None] * d_pooled[:, None] + d_score[..., None] * p["attend"]
+        d_both = weight[..., None] * d_mean[:, None] + d_score[..., None] * p["attend"]
         d_states = np.stack([d_both[..., :HIDDEN], d_both[:, ::-1, HIDDEN:]])
         g |= {k: np.zeros_like(p[k]) for k in ("w", "u", "b")}
         d_x, d_h = np.zeros_like(x), np.zeros_like(trail[0][0])
@@ -150,29 +168,38 @@ class Network:
         return g, d_x
 
     def learn(
-        self, windows: list[list[bytes]], labels: np.ndarray, epochs: int, rate: float, seed: int = 11
+        self,
+        runs: list[list[bytes]],
+        windows: list[slice],
+        labels: np.ndarray,
+        epochs: int,
+        rate: float,
+        seed: int = 11,
     ) -> None:
-        """Cross-entropy by Adam; both classes weigh the same in total."""
+        """Cross-entropy by Adam on one window of each run; both classes weigh the same in total."""
         random = np.random.Generator(np.random.PCG64(seed))
         share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
         share = share * len(labels)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         step = 0
         for _ in range(epochs):
-            order = random.permutation(len(windows))
+            order = random.permutation(len(runs))
             for start in range(0, len(order), 128):
                 some = order[start : start + 128]
-                batch = [windows[i] for i in some]
-                words = sorted({w for window in batch for w in window})
+                batch = [runs[i] for i in some]
+                words = sorted({w for run in batch for w in run})
                 place = {w: i for i, w in enumerate(words)}
                 steps = max(map(len, batch))
                 index = np.zeros((len(batch), steps), np.int64)
                 real = np.zeros((len(batch), steps), bool)
-                for row, window in enumerate(batch):
-                    index[row, : len(window)] = [place[w] for w in window]
-                    real[row, : len(window)] = True
+                pooled = np.zeros((len(batch), steps), bool)
+                for row, run in enumerate(batch):
+                    index[row, : len(run)] = [place[w] for w in run]
+                    real[row, : len(run)] = True
+                    pooled[row, windows[some[row]]] = True
+                pooled &= real
                 table, rows, source = self.inputs(words, random.random(len(words)) >= UNKNOWN_SHARE)
-                logits, kept = self.forward(table[index], real)
+                logits, kept = self.forward(table[index], real, pooled)
                 slope = (_squash(logits) - labels[some]) * share[some] / len(some)
                 g, d_x = self.backward(slope, kept)
                 d_x[~real] = 0
@@ -213,8 +240,12 @@ class Network:
         row[..., :HIDDEN] = 60
         return row
 
-    def logits(self, table: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """Logits of windows of rows of `table`, whose row 0 is `padding()`."""
+    def logits(self, table: np.ndarray, index: np.ndarray, window: int) -> np.ndarray:
+        """Logits of the `window` words (fewer at the end) from every step of runs on.
+
+        `index`: run, step; rows of `table`, whose row 0 is `padding()` and stands after a run's
+        words. The result has the steps first. A window without words has the logit of no input.
+        """
         u = self.p["u"].astype(np.float32)
         size, steps = index.shape
         h = np.zeros((2, size, HIDDEN), np.float32)
@@ -230,9 +261,12 @@ class Network:
             h = n + zr[..., :HIDDEN] * (h - n)
             states[t, :, :HIDDEN] = h[0]
             states[steps - 1 - t, :, HIDDEN:] = h[1]
+        real = (index != 0).T
         weight = states @ self.p["attend"].astype(np.float32)
-        weight[(index == 0).T] = -1e9
-        weight = np.exp(weight - weight.max(axis=0))
-        weight /= weight.sum(axis=0)
+        top = np.where(real, weight, -np.inf).max(axis=0, initial=-1e9)
+        weight = np.where(real, np.exp(np.clip(weight - top, -80, 0)), 0)
         each = states @ self.p["out"].astype(np.float32)
-        return (weight * each).sum(axis=0) + np.float32(self.p["bias"][0])
+        total = sliding_sums(weight, window)
+        found = np.zeros_like(total)
+        np.divide(sliding_sums(weight * each, window), total, out=found, where=total > 0)
+        return found + np.float32(self.p["bias"][0])

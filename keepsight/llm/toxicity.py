@@ -2,8 +2,11 @@
 
 The network (`recurrent`) is trained on a bounded sample of labelled documents. A label says
 that some part of a document is toxic, so training alternates between picking each sampled
-document's highest windows and learning from them. A document's score is that of its highest
-window; the cut at 0.5 is set on the sample, at the labels' own class shares.
+document's highest windows and learning from them. A window starts at every word. Windows share
+their states: the network runs once over a run of words, `CONTEXT` words further on each side
+than its windows reach, and attention pools the states of each window by sliding sums. A
+document's score is that of its highest window; the cut at 0.5 is set on the sample, at the
+labels' own class shares.
 """
 
 from __future__ import annotations
@@ -20,22 +23,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keepsight.llm.recurrent import BUCKETS, WORD_SIZE, Network, gram_buckets
+from keepsight.llm.recurrent import BUCKETS, WORD_SIZE, Network, gram_buckets, sliding_sums
 from keepsight.llm.store import python_path, remainder, remembered, whole_row
 
-#: Documents that are sampled of each label, at most, and the longest that may be sampled.
+#: Documents that are sampled of each label, at most, and their characters in total.
 SAMPLE_DOCUMENTS = 2000
-SAMPLE_CHARS = 6000
+SAMPLE_CHARS = 6_000_000
 #: Words the network knows by themselves, at most.
 KNOWN_WORDS = 20_000
 WINDOW = 24
-STRIDE = 18
+#: Words before and after a window that its states have read at least, where the text has them.
+CONTEXT = 12
+#: Windows that share one run.
+RUN_WINDOWS = 104
 ROUNDS = 2
 EPOCHS = 4
 #: Words whose gates a worker remembers; beyond it the memory starts anew.
 MEMORY_WORDS = 100_000
 CHUNK_CHARS = 500_000
-WINDOWS_AT_A_TIME = 2048
+RUNS_AT_A_TIME = 1024
 
 _MARKS = string.punctuation.encode()
 
@@ -46,11 +52,20 @@ def split(text: str | None) -> list[bytes]:
     return [word.strip(_MARKS) or word for word in found]
 
 
-def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Document and first word of every window: each `STRIDE` words, one at least."""
-    count = np.maximum(1, -((WINDOW - STRIDE - sizes) // STRIDE))
+def runs(sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Document, first word, end, first window and number of windows of every run.
+
+    Each window of each document, one at least, is in one run; a run holds its windows' words and
+    up to `CONTEXT` more on each side.
+    """
+    windows = np.maximum(1, sizes - WINDOW + 1)
+    count = -(-windows // RUN_WINDOWS)
     doc = np.repeat(np.arange(len(sizes)), count)
-    return doc, (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+    first = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * RUN_WINDOWS
+    held = np.minimum(windows[doc] - first, RUN_WINDOWS)
+    begin = np.maximum(first - CONTEXT, 0)
+    end = np.minimum(first + held - 1 + WINDOW + CONTEXT, sizes[doc])
+    return doc, begin, end, first, held
 
 
 class Scorer:
@@ -74,8 +89,8 @@ class Scorer:
         self.table[start:need] = self.network.gates(new)
         self.rows.update(zip(new, range(start, need), strict=True))
 
-    def window_logits(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document, first word and logit of every window of the texts."""
+    def peaks(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Logit and first word of every text's highest window, the first of several."""
         new = {word for text in texts for word in text} - self.rows.keys()
         if len(self.rows) + len(new) > MEMORY_WORDS:
             self._forget()
@@ -85,21 +100,44 @@ class Scorer:
         get = self.rows.__getitem__
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         flat = np.fromiter((get(w) for text in texts for w in text), np.int64, int(sizes.sum()))
-        doc, start = windows(sizes)
-        first = np.cumsum(sizes) - sizes
-        logits = np.empty(len(doc), np.float32)
         flat = np.append(flat, 0)
-        for at in range(0, len(doc), WINDOWS_AT_A_TIME):
-            d, s = doc[at : at + WINDOWS_AT_A_TIME], start[at : at + WINDOWS_AT_A_TIME]
-            place = s[:, None] + np.arange(min(WINDOW, max(int(sizes[d].max()), 1)))
-            inside = place < sizes[d][:, None]
-            index = np.where(inside, flat[np.where(inside, first[d][:, None] + place, -1)], 0)
-            logits[at : at + WINDOWS_AT_A_TIME] = self.network.logits(self.table, index)
-        return doc, start, logits
-
-    def document_logits(self, texts: list[list[bytes]]) -> np.ndarray:
-        doc, _, logits = self.window_logits(texts)
-        return np.maximum.reduceat(logits, np.searchsorted(doc, np.arange(len(texts))))
+        base = np.cumsum(sizes) - sizes
+        doc, begin, end, first, held = runs(sizes)
+        highest = np.empty(len(doc), np.float32)
+        start = np.empty(len(doc), np.int64)
+        by_length = np.argsort(end - begin, kind="stable")
+        for at in range(0, len(doc), RUNS_AT_A_TIME):
+            some = by_length[at : at + RUNS_AT_A_TIME]
+            steps = np.arange(max(int((end - begin)[some].max()), 1))
+            place = begin[some][:, None] + steps
+            inside = place < end[some][:, None]
+            index = np.where(inside, flat[np.where(inside, base[doc[some]][:, None] + place, -1)], 0)
+            logits = self.network.logits(self.table, index, WINDOW).T
+            from_first = place - first[some][:, None]
+            own = (from_first >= 0) & (from_first < held[some][:, None])
+            logits = np.where(own, logits, -np.inf)
+            best = logits.argmax(axis=1)
+            rows = np.arange(len(some))
+            highest[some], start[some] = logits[rows, best], place[rows, best]
+        order = np.lexsort((start, -highest, doc))
+        order = order[np.searchsorted(doc, np.arange(len(texts)))]
+        return highest[order], start[order]
+
+
+def _first_guess(network: Network, texts: list[list[bytes]]) -> np.ndarray:
+    """First word of every text's highest window by the inputs that start as log odds."""
+    vocabulary = sorted({w for text in texts for w in text})
+    x = np.concatenate(
+        [np.zeros((0, 2 * WORD_SIZE))]
+        + [network.inputs(vocabulary[i : i + 5000])[0] for i in range(0, len(vocabulary), 5000)]
+    )
+    value = dict(zip(vocabulary, x[:, 0] + x[:, WORD_SIZE], strict=True))
+    starts = np.zeros(len(texts), np.int64)
+    for at, text in enumerate(texts):
+        if text:
+            sums = sliding_sums(np.array([value[w] for w in text]), WINDOW)
+            starts[at] = sums[: max(1, len(text) - WINDOW + 1)].argmax()
+    return starts
 
 
 def _odds(found: np.ndarray, toxic: int, clean: int) -> np.ndarray:
@@ -134,47 +172,30 @@ def _fresh(texts: list[list[bytes]], labels: np.ndarray) -> Network:
 def train(texts: list[str], labels: np.ndarray, weights: tuple[float, float]) -> Network:
     """A network from whole labelled texts; `weights`: how many documents each row of a class
     (0, 1) stands for. Both classes must be there."""
-    split_texts = [split(text) for text in texts]
+    shared: dict[bytes, bytes] = {}
+    split_texts = [[shared.setdefault(word, word) for word in split(text)] for text in texts]
     judged = _every_fifth(labels)
     learnt = np.flatnonzero(~judged)
-    network = _fresh([split_texts[i] for i in learnt], labels[learnt])
+    own = [split_texts[i] for i in learnt]
+    network = _fresh(own, labels[learnt])
     random = np.random.Generator(np.random.PCG64(5))
-    sizes = np.fromiter(map(len, split_texts), np.int64, len(split_texts))
-    doc, start = windows(sizes)
-    edges = np.searchsorted(doc, np.arange(len(texts) + 1))
     for turn in range(ROUNDS):
-        if turn:
-            logits = Scorer(network).window_logits(split_texts)[2]
-        else:  # by the inputs that start as log odds
-            vocabulary = sorted({w for text in split_texts for w in text})
-            x = np.concatenate(
-                [np.zeros((0, 2 * WORD_SIZE))]
-                + [network.inputs(vocabulary[i : i + 5000])[0] for i in range(0, len(vocabulary), 5000)]
-            )
-            value = dict(zip(vocabulary, x[:, 0] + x[:, WORD_SIZE], strict=True))
-            logits = np.array(
-                [
-                    sum(value[w] for w in split_texts[d][s : s + WINDOW])
-                    for d, s in zip(doc.tolist(), start.tolist(), strict=True)
-                ]
-            )
-        chosen: list[int] = []
-        for i in learnt:
-            own = np.arange(edges[i], edges[i + 1])
-            ranked = own[np.argsort(-logits[own], kind="stable")]
-            chosen.append(int(ranked[0]))
-            if not labels[i]:
-                chosen.append(int(random.choice(own)))
-        picked = [split_texts[doc[i]][start[i] : start[i] + WINDOW] for i in chosen]
-        keep = [k for k, window in enumerate(picked) if window]
-        network.learn(
-            [picked[k] for k in keep],
-            np.array([labels[doc[chosen[k]]] for k in keep]),
-            EPOCHS,
-            0.01 if turn < ROUNDS - 1 else 0.004,
-        )
+        best = Scorer(network).peaks(own)[1] if turn else _first_guess(network, own)
+        words, places, found = [], [], []
+        for text, label, start in zip(own, labels[learnt], best.tolist(), strict=True):
+            if not text:
+                continue
+            chosen = [start]
+            if not label:
+                chosen.append(int(random.integers(max(1, len(text) - WINDOW + 1))))
+            for first in chosen:
+                begin = max(first - CONTEXT, 0)
+                words.append(text[begin : first + WINDOW + CONTEXT])
+                places.append(slice(first - begin, first - begin + WINDOW))
+                found.append(label)
+        network.learn(words, places, np.array(found), EPOCHS, 0.01 if turn < ROUNDS - 1 else 0.004)
     held = np.flatnonzero(judged)
-    logits = Scorer(network).document_logits([split_texts[i] for i in held]).astype(np.float64)
+    logits = Scorer(network).peaks([split_texts[i] for i in held])[0].astype(np.float64)
     network.cut = _cut(logits, labels[held], weights)
     return network
 
@@ -216,7 +237,7 @@ def _task(key: str, pickled: bytes):
                 texts.append(split(value))
                 size += len(value or "")
                 if size >= CHUNK_CHARS or at + 1 == batch.num_rows:
-                    logit = scorer.document_logits(texts) - scorer.network.cut
+                    logit = scorer.peaks(texts)[0] - scorer.network.cut
                     score = 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -60, 60)))
                     kept = batch.slice(start, at + 1 - start)
                     yield pa.RecordBatch.from_arrays(
@@ -236,8 +257,8 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, list,
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
+    labelled = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    if len(labelled) < 2:
         return None
     ids = None
     for label in (0, 1):
@@ -247,10 +268,27 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, list,
             .limit(SAMPLE_DOCUMENTS)
         )
         ids = some if ids is None else ids.union(some)
+    sizes = (
+        docs.select("doc_id", F.length("text").alias("chars"))
+        .where("chars > 0")
+        .join(F.broadcast(ids), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.max("chars").alias("chars"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+    )
+    room = [SAMPLE_CHARS, SAMPLE_CHARS]
+    chosen = []
+    for row in sizes.collect():
+        if row["chars"] <= room[row["toxic"]]:
+            room[row["toxic"]] -= row["chars"]
+            chosen.append(row)
+    if not chosen:
+        return None
+    some = docs.sparkSession.createDataFrame(chosen, sizes.schema)
     rows = (
         docs.select("doc_id", "text")
-        .where(F.length("text") <= SAMPLE_CHARS)
-        .join(F.broadcast(ids), "doc_id")
+        .join(F.broadcast(some), "doc_id")
+        .where(F.length("text") == F.col("chars"))
         .groupBy("doc_id")
         .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
         .collect()
@@ -259,7 +297,7 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, list,
     texts, found = [r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64)
     if found.min(initial=1) == found.max(initial=0):
         return None
-    weights = tuple(sizes[c] / max(int((found == c).sum()), 1) for c in (0, 1))
+    weights = tuple(labelled[c] / max(int((found == c).sum()), 1) for c in (0, 1))
     return texts, found, weights
 
 
@@ -274,7 +312,8 @@ def score_toxicity(
     """Toxicity of every whole text, learnt from `labels` (`doc_id`, `toxic` 0 or 1).
 
     Only documents whose id's crc32 modulo `folds` is not 0 are learnt from: of each label the
-    `SAMPLE_DOCUMENTS` first in hash order, with at most `SAMPLE_CHARS` characters. Returns per
+    `SAMPLE_DOCUMENTS` first in hash order, whole and of any length, but for those that the
+    `SAMPLE_CHARS` characters of a label in total have no room left for. Returns per
     row `doc_id`, `held_out`, `score` (0 to 1), `predicted` (1 from 0.5 on) and, with `carry`,
     the whole row as the struct `row`.
 

@@ -95,12 +95,13 @@ def test_gradient():
     x, _, _ = network.inputs([b"ab", b"cd", b"zz"])
     index = np.array([[0, 1, 2], [2, 0, 0]])
     real = np.array([[True, True, True], [True, True, False]])
+    pooled = np.array([[False, True, True], [False, True, False]])
     slope = np.array([0.3, -0.7])
 
     def loss():
-        return float(network.forward(x[index], real)[0] @ slope)
+        return float(network.forward(x[index], real, pooled)[0] @ slope)
 
-    logits, kept = network.forward(x[index], real)
+    logits, kept = network.forward(x[index], real, pooled)
     grads, d_x = network.backward(slope, kept)
     for name, place in (("w", (1, 2, 3)), ("u", (0, 1, 9)), ("b", (1, 0, 20)), ("attend", (4,)), ("out", (9,))):
         step = 1e-6
@@ -111,18 +112,77 @@ def test_gradient():
         network.p[name][place] += step
         assert math.isclose((up - down) / (2 * step), grads[name][place], rel_tol=1e-4, abs_tol=1e-8)
     padded = np.concatenate([network.padding(), network.gates([b"ab", b"cd", b"zz"])])
-    fast = network.logits(padded, np.where(real, index + 1, 0))
-    assert np.allclose(fast, logits, atol=1e-4)
+    fast = network.logits(padded, np.where(real, index + 1, 0), 2)
+    assert np.allclose(fast[1], logits, atol=1e-4)
+    whole, _ = network.forward(x[index], real, real)
+    assert np.allclose(network.logits(padded, np.where(real, index + 1, 0), 9)[0], whole, atol=1e-4)
 
 
-def test_windows_cover_all_words():
-    sizes = np.array([0, 1, 24, 25, 60, 200])
-    doc, start = toxicity.windows(sizes)
+def test_sliding_sums():
+    values = np.random.default_rng(3).random((50, 2))
+    for window in (1, 2, 7, 24, 50, 90):
+        plain = np.stack([values[i : i + window].sum(axis=0) for i in range(50)])
+        assert np.allclose(toxicity.sliding_sums(values, window), plain)
+
+
+def test_windows_at_every_word():
+    sizes = np.array([0, 1, 24, 25, 60, 127, 128, 1000])
+    doc, begin, end, first, held = toxicity.runs(sizes)
     for i, size in enumerate(sizes):
-        own = start[doc == i]
-        seen = {w for s in own for w in range(s, min(s + toxicity.WINDOW, size))}
-        assert seen == set(range(size)) and own[0] == 0
-        assert all(b - a == toxicity.STRIDE for a, b in zip(own, own[1:], strict=False))
+        own = [w for r in np.flatnonzero(doc == i) for w in range(first[r], first[r] + held[r])]
+        assert own == list(range(max(1, size - toxicity.WINDOW + 1)))
+    last = np.minimum(first + held - 1 + toxicity.WINDOW, sizes[doc])
+    assert (begin == np.maximum(first - toxicity.CONTEXT, 0)).all()
+    assert (end == np.minimum(last + toxicity.CONTEXT, sizes[doc])).all()
+
+
+def _toxic_network():
+    random = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(300)]
+    texts, labels = [], np.arange(400) % 4 == 0
+    for toxic in labels:
+        text = random.choice(words, int(random.integers(20, 300))).tolist()
+        at = int(random.integers(len(text)))
+        texts.append(" ".join(text[:at] + [f"bad{i}" for i in range(5)] * int(toxic) + text[at:]))
+    return toxicity.train(texts, labels.astype(np.int64), (1.0, 1.0)), words
+
+
+def test_peaks_equal_single_runs():
+    network, words = _toxic_network()
+    random = np.random.default_rng(4)
+    texts = [[w.encode() for w in random.choice(words, n)] for n in (0, 3, 24, 60, 150, 700)]
+    logits, starts = toxicity.Scorer(network).peaks(texts)
+    for text, logit, start in zip(texts, logits, starts, strict=True):
+        gates = np.concatenate([network.padding(), network.gates(text)]) if text else network.padding()
+        index = np.arange(1, len(text) + 1)[None] if text else np.zeros((1, 1), np.int64)
+        every = network.logits(gates, index, toxicity.WINDOW)[: max(1, len(text) - 23), 0]
+        # Runs read a bounded context, the whole text an unbounded one.
+        assert abs(every.max() - logit) < 0.05 and abs(every[start] - logit) < 0.05
+
+
+def test_passage_scores_alike_at_any_offset():
+    network, words = _toxic_network()
+    random = np.random.default_rng(5)
+    scorer = toxicity.Scorer(network)
+    filler = [w.encode() for w in random.choice(words, 400)]
+    passage = [b"bad0", b"bad1", b"bad2", b"bad3", b"bad4"]
+    clean = scorer.peaks([filler])[0][0]
+    found = scorer.peaks([filler[:at] + passage + filler[at:] for at in range(0, 401, 7)])[0]
+    assert clean < network.cut < found.min() and found.max() - found.min() < found.min() - clean
+
+
+def test_long_documents_are_sampled(documents, table, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 400_000)
+    rows = [(i, "good words here " * 2000 + ("vile " * (i % 2)), "en", "s") for i in range(20)]
+    rows += [(100 + i, "long " * 100_000, "en", "s") for i in range(10)]
+    labels = table(
+        [(i, i % 2) for i in range(20)] + [(100 + i, 1) for i in range(10)], "doc_id long, toxic int"
+    )
+    texts, found, weights = toxicity._sample(documents(rows), labels, 5)
+    assert 5 < len(texts) and {0, 1} == set(found.tolist()) and min(weights) >= 1
+    for label in (0, 1):
+        own = [len(t) for t, toxic in zip(texts, found, strict=True) if toxic == label]
+        assert 32_000 <= max(own) and sum(own) <= 400_000
 
 
 def test_toxicity_finds_held_out(documents, table):
