@@ -31,14 +31,13 @@ FLAGS = ("is_churned", "is_active", "high_ticket")
 NO_BUCKET = 99
 
 
-def _fills(master: DataFrame) -> dict[str, Column]:
+def _fills(nps: Column) -> dict[str, Column]:
+    """The filled columns; `nps` is what stands for a missing score."""
     fills = {c: F.coalesce(F.col(c).cast("string"), F.lit(v)) for c, v in TEXT_FILLS.items()}
     fills |= {c: F.coalesce(F.col(c).cast("string"), F.lit(v)) for c, v in DATE_FILLS.items()}
     fills |= {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ZERO_FILLS}
     fills |= {c: F.col(c).cast("int") for c in FLAGS}
-    # The cleaned score has at most 11 values, so the exact median keeps 11 counters.
-    median = master.agg(half_even(F.median("nps_score"), 1)).scalar()
-    fills["nps_score"] = F.coalesce(F.col("nps_score").cast("double"), median)
+    fills["nps_score"] = F.coalesce(F.col("nps_score").cast("double"), nps)
     position = F.lit(NO_BUCKET)
     for number, (name, _) in enumerate(TICKET_BUCKETS, start=1):
         position = F.when(F.col("ticket_bucket") == name, number).otherwise(position)
@@ -46,24 +45,32 @@ def _fills(master: DataFrame) -> dict[str, Column]:
     return fills
 
 
-def dashboard_clean(master: DataFrame) -> DataFrame:
+def dashboard_clean(master: DataFrame, scores: DataFrame | None = None) -> DataFrame:
     """Fill missing values for a BI tool; flags become 1/0 and buckets get a sort number.
 
-    Dates become text. Sign-up date, member count and ticket bucket stay as they are. `master`
-    is read twice (once for the median) and should be stored.
+    Dates become text. Sign-up date, member count and ticket bucket stay as they are. Missing
+    scores become the median of `nps_score` in `scores`, a row per customer (the clean customers,
+    say), which spares a second pass over the merged rows; without it, of `master` itself.
     """
-    return master.withColumns(_fills(master))
+    # The cleaned score has at most 11 values, so the exact median keeps 11 counters.
+    median = half_even(F.median("nps_score"), 1)
+    return master.withColumns(_fills((master if scores is None else scores).agg(median).scalar()))
 
 
 def _null_counts(master: DataFrame) -> tuple[DataFrame, list[str]]:
-    """One row with the row count and the missing values per column, from a single pass."""
-    fills = _fills(master)
+    """One row with the row count and the missing values per column, from a single pass.
+
+    A missing score stays missing only where there is no score at all, so its median isn't needed.
+    """
+    fills = _fills(F.lit(None))
     names = [*master.columns, *[c for c in fills if c not in master.columns]]
-    after = {c: fills[c] if c in fills else F.col(c) for c in names}
+    after = {c: F.count_if((fills[c] if c in fills else F.col(c)).isNull()) for c in names}
+    no_score = F.count("nps_score") == 0
+    after["nps_score"] = F.when(no_score, F.count(F.lit(1))).otherwise(F.lit(0).cast("bigint"))
     counts = master.agg(
         F.count(F.lit(1)).alias("row_count"),
         *[F.count_if(F.col(c).isNull()).alias(f"b_{c}") for c in master.columns],
-        *[F.count_if(column.isNull()).alias(f"a_{c}") for c, column in after.items()],
+        *[number.alias(f"a_{c}") for c, number in after.items()],
     )
     return counts, names
 
@@ -101,63 +108,71 @@ def null_verdict(master: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Range of each numeric column (2 digits), distinct values of each other one.
+    """Range of each numeric column (2 digits), distinct values of each other one, in one pass.
 
-    Distinct values are counted exactly by folding (column, value) pairs; `approximate` keeps
-    one sketch per column instead and needs no shuffle of values.
+    Distinct values are counted exactly by folding (column, value) pairs, in which a numeric
+    column is one pair with its range; `approximate` keeps one sketch per column instead and
+    needs no shuffle of values. Without rows, ranges are NULL and distinct values 0.
     """
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    others = [c for c in df.columns if c not in numeric]
-    position = {c: i for i, c in enumerate(df.columns, start=1)}
+    if not df.columns:
+        raise ValueError("no columns to profile")
 
-    def entry(c: str, low: Column, high: Column, distinct: Column) -> Column:
-        return F.struct(
-            F.lit(position[c]).alias("position"),
-            F.lit(c).alias("column_name"),
-            F.lit("numeric" if c in numeric else "other").alias("kind"),
-            low.cast("double").alias("min_value"),
-            high.cast("double").alias("max_value"),
-            distinct.cast("bigint").alias("unique_values"),
-        )
+    def number(c: str) -> Column:
+        return F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
 
-    none = F.lit(None)
-    aggregates = []
-    for c in numeric:
-        number = F.col(c).cast("double")
-        aggregates.append(half_even(F.min(number), 2).alias(f"l_{c}"))
-        aggregates.append(half_even(F.max(number), 2).alias(f"h_{c}"))
-    if approximate:
-        aggregates += [F.approx_count_distinct(c).alias(f"d_{c}") for c in others]
-    entries = [entry(c, F.col(f"l_{c}"), F.col(f"h_{c}"), none) for c in numeric]
+    def text(c: str) -> Column:
+        return F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")
+
+    low, high, unique = F.col("low"), F.col("high"), F.col("unique_values")
     if approximate:
-        entries += [entry(c, none, none, F.col(f"d_{c}")) for c in others]
-    profile = (
-        df.agg(*aggregates).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-        if entries
-        else None
-    )
-    if others and not approximate:
-        pairs = F.array(
-            *[
-                F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                for c in others
-            ]
-        )
-        order = F.create_map(*[F.lit(x) for c in others for x in (c, position[c])])
-        counted = (
-            df.select(F.explode(pairs).alias("pair"))
-            .select("pair.*")
-            .distinct()
+        parts = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.min(number(c)).alias("low"),
+                F.max(number(c)).alias("high"),
+                F.approx_count_distinct(text(c)).alias("unique_values"),
+            )
+            for c in df.columns
+        ]
+        found = df.agg(F.array(*parts).alias("parts"))
+    else:
+        pairs = [
+            F.struct(
+                F.lit(c).alias("column_name"), text(c).alias("value"), number(c).alias("number")
+            )
+            for c in df.columns
+        ]
+        found = (
+            df.select(F.inline(F.array(*pairs)))
+            .groupBy("column_name", "value")
+            .agg(F.min("number").alias("low"), F.max("number").alias("high"))
             .groupBy("column_name")
-            .agg(F.count("value").alias("unique_values"))
-            .select(
-                F.try_element_at(order, F.col("column_name")).alias("position"),
-                "column_name",
-                F.lit("other").alias("kind"),
-                none.cast("double").alias("min_value"),
-                none.cast("double").alias("max_value"),
-                "unique_values",
+            .agg(
+                F.min("low").alias("low"),
+                F.max("high").alias("high"),
+                F.count("value").alias("unique_values"),
             )
+            # One row per column of `df`, so the list has a fixed length.
+            .agg(F.collect_list(F.struct("column_name", low, high, unique)).alias("parts"))
         )
-        profile = counted if profile is None else profile.unionByName(counted)
-    return profile.orderBy("position")
+    by_name = F.map_from_entries(
+        F.transform("parts", lambda p: F.struct(p["column_name"].alias("key"), p.alias("value")))
+    )
+    rows = []
+    for position, c in enumerate(df.columns, start=1):
+        part = F.try_element_at("by_name", F.lit(c))
+        distinct = F.coalesce(part["unique_values"], F.lit(0)).cast("bigint")
+        rows.append(
+            F.struct(
+                F.lit(position).alias("position"),
+                F.lit(c).alias("column_name"),
+                F.lit("numeric" if c in numeric else "other").alias("kind"),
+                half_even(part["low"], 2).alias("min_value"),
+                half_even(part["high"], 2).alias("max_value"),
+                (F.lit(None).cast("bigint") if c in numeric else distinct).alias("unique_values"),
+            )
+        )
+    return (
+        found.select(by_name.alias("by_name")).select(F.inline(F.array(*rows))).orderBy("position")
+    )

@@ -265,7 +265,9 @@ def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     interquartile range, and at the quartile itself if there is no such value beyond it.
     """
     known = df.filter(F.col(group).isNotNull())
-    counts = value_counts(known, [group], value)
+    # One pass over `df`; groups without values are known by their rows of NULL.
+    folded = pin(known.groupBy(group, value).agg(F.count(F.lit(1)).alias("n")))
+    counts = folded.filter(F.col(value).isNotNull())
     quartiles = quantiles(counts, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     amount = F.col(value).cast("double")
@@ -288,7 +290,7 @@ def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
         )
     )
     return (
-        match_keys(known.select(group).distinct(), whiskers, [group], "left")
+        match_keys(folded.select(group).distinct(), whiskers, [group], "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
         .orderBy(F.asc_nulls_last("median"), group)
     )

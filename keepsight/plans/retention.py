@@ -10,7 +10,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from keepsight.operators import cleaning, customers, dashboard, events, hypothesis, ordered
-from keepsight.session import pin
 from keepsight.sources.tables import read_parquet, write_csv, write_table
 
 SCORE_LOW, SCORE_HIGH, SCORE_BINS = 0.0, 1.5, 15
@@ -107,9 +106,9 @@ class RetentionFlow:
         return self._merged()
 
     @cached_property
-    def stored_master(self) -> DataFrame:
-        """The master dataset written once, for reports that read it more than once."""
-        return pin(self.master)
+    def dashboard(self) -> DataFrame:
+        """The dashboard export; the median score comes from the customers, before any merge."""
+        return dashboard.dashboard_clean(self.master, self.clean_customers)
 
     @cached_property
     def merge_counts(self) -> customers.MergeCounts:
@@ -170,10 +169,6 @@ MASTER_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "null_verdict": dashboard.null_verdict,
 }
 
-# Reports that read the master dataset more than once; give them a stored one.
-SEVERAL_READS = ("mrr_box_stats", "null_profile", "null_verdict")
-
-
 def run(inputs: Inputs, folder: str) -> None:
     """Write the master dataset once, then every report and the dashboard export from it."""
     flow = RetentionFlow(inputs)
@@ -184,7 +179,7 @@ def run(inputs: Inputs, folder: str) -> None:
         write_table(report(master), f"{folder}/{name}")
     write_table(flow.cleaning_report, f"{folder}/cleaning_report")
     write_table(flow.merge_counts.report(spark), f"{folder}/merge_report")
-    clean = dashboard.dashboard_clean(master)
+    clean = dashboard.dashboard_clean(master, flow.clean_customers)
     write_csv(master, f"{folder}/master_csv")
     write_csv(clean, f"{folder}/dashboard_csv")
     write_table(dashboard.column_profile(clean), f"{folder}/column_profile")

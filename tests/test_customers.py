@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from keepsight.operators import customers, dashboard
 from keepsight.operators.cleaning import clean_customers
@@ -241,5 +242,19 @@ def test_column_profile(table, approximate):
     ]
 
 
+@pytest.mark.parametrize("approximate", [False, True])
+def test_column_profile_without_rows(table, approximate):
+    got = rows(dashboard.column_profile(table([], "i int, s string"), approximate))
+    assert got == [(1, "i", "numeric", None, None, None), (2, "s", "other", None, None, 0)]
+
+
+def test_median_from_customers(merged, table):
+    master = customers.assign_segments(merged).withColumn("nps_score", F.lit(None).cast("int"))
+    scores = table([(1,), (4,), (9,), (None,)], "nps_score int")
+    assert {r[0] for r in rows(dashboard.dashboard_clean(master, scores), "nps_score")} == {4.0}
+    left = by_key(dashboard.null_profile(master), "column_name", "nulls_before", "nulls_after")
+    assert left["nps_score"] == (3, 3)
+
+
 def test_signup_dates_survive(merged):
     assert {r[0] for r in rows(merged, "signup_date")} == {datetime(2020, 1, 2)}
