@@ -122,10 +122,12 @@ def _path(field: str, kind: str, of: str = "doc") -> Column:
 
 
 def documents(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to one variant column `doc`; text that is not JSON is dropped."""
-    return lines.select(F.try_parse_json(F.col(column)).alias("doc")).filter(
-        F.col("doc").isNotNull()
-    )
+    """JSON text to one variant column `doc`; text that is not JSON is dropped.
+
+    Each text is parsed once, whatever is asked of `doc` afterwards.
+    """
+    parsed = _looked_up(lines, F.try_parse_json(F.col(column)).alias("doc"))
+    return parsed.filter(F.col("doc").isNotNull())
 
 
 def document_report(lines: DataFrame, column: str = "value") -> DataFrame:

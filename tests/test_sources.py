@@ -219,3 +219,12 @@ def test_flow_writes_every_report(spark, tmp_path):
     assert sizes == master.count()
     clean = cleaning.clean_tickets(sample["support_tickets"], ["row_ord"], drop=["row_ord"])
     assert "row_ord" not in clean.columns
+
+
+def test_documents_are_parsed_once(table):
+    lines = table([('{"a": 1, "feature": "x"}',), ("no",), ('{"a": 2}',)], "value string")
+    docs = tables.documents(lines).withColumn("a", F.try_variant_get("doc", "$.a", "bigint"))
+    found = docs.filter(tables.has_field("feature")).select("a")
+    assert rows(found) == [(1,)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson") + plan.count("parse_json") == 1
