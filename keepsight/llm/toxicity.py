@@ -249,8 +249,9 @@ def _task(key: str, pickled: bytes):
     return task
 
 
-def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, list, tuple] | None:
-    """Texts, labels and class weights of the sample; None unless both classes are there."""
+def _sample_rows(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[DataFrame, tuple] | None:
+    """Rows `doc_id`, `text`, `toxic` of the sample and class weights; None unless both classes
+    are there."""
     known = (
         labels.where("toxic in (0, 1) and doc_id is not null")
         .where(remainder(F.col("doc_id"), folds) != 0)
@@ -282,7 +283,8 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, list,
         if row["chars"] <= room[row["toxic"]]:
             room[row["toxic"]] -= row["chars"]
             chosen.append(row)
-    if not chosen:
+    found = [sum(row["toxic"] == label for row in chosen) for label in (0, 1)]
+    if not all(found):
         return None
     some = docs.sparkSession.createDataFrame(chosen, sizes.schema)
     rows = (
@@ -291,14 +293,45 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, list,
         .where(F.length("text") == F.col("chars"))
         .groupBy("doc_id")
         .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-        .collect()
     )
-    rows.sort(key=lambda r: r["doc_id"])
-    texts, found = [r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64)
-    if found.min(initial=1) == found.max(initial=0):
+    return rows, tuple(labelled[c] / found[c] for c in (0, 1))
+
+
+def _in_order(ids: list, texts: list[str], labels: list[int]) -> tuple[list[str], np.ndarray]:
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    return [texts[i] for i in order], np.array([labels[i] for i in order], np.int64)
+
+
+def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, np.ndarray, tuple] | None:
+    """Texts, labels and class weights of the sample, on the driver."""
+    sample = _sample_rows(docs, labels, folds)
+    if sample is None:
+        return None
+    rows, weights = sample
+    return *_in_order(*zip(*rows.select("doc_id", "text", "toxic").collect(), strict=True)), weights
+
+
+def _train_task(weights: tuple[float, float]):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns: tuple[list, ...] = ([], [], [])
+        for batch in batches:
+            for values, more in zip(columns, batch.columns, strict=True):
+                values.extend(more.to_pylist())
+        if columns[0]:
+            network = pickle.dumps(train(*_in_order(*columns), weights))
+            yield pa.RecordBatch.from_arrays([pa.array([network], pa.binary())], names=["network"])
+
+    return task
+
+
+def _trained(docs: DataFrame, labels: DataFrame, folds: int) -> bytes | None:
+    """The pickled network; one task learns from the bounded sample, so the driver holds no text."""
+    sample = _sample_rows(docs, labels, folds)
+    if sample is None:
         return None
-    weights = tuple(labelled[c] / max(int((found == c).sum()), 1) for c in (0, 1))
-    return texts, found, weights
+    rows, weights = sample
+    rows = rows.select("doc_id", "text", "toxic").repartition(1)
+    return bytes(rows.mapInArrow(_train_task(weights), "network binary").first()["network"])
 
 
 def score_toxicity(
@@ -330,11 +363,10 @@ def score_toxicity(
     )
     kept = docs.columns[:-1]
     held_out = remainder(F.col("doc_id"), folds) == 0
-    sample = _sample(docs, labels.select("doc_id", "toxic"), folds)
-    if sample is None:
+    pickled = _trained(docs, labels.select("doc_id", "toxic"), folds)
+    if pickled is None:
         scored = docs.select(*kept, F.lit(0.0).alias("score"))
     else:
-        pickled = pickle.dumps(train(*sample))
         key = hashlib.blake2b(pickled, digest_size=8).hexdigest()
         schema = T.StructType([*docs.schema.fields[:-1], T.StructField("score", T.DoubleType())])
         scored = docs.mapInArrow(_task(key, pickled), schema)

@@ -1,3 +1,4 @@
+import os
 """Operators on document texts against plain versions, and on odd rows."""
 
 import math
@@ -205,6 +206,19 @@ def test_toxicity_finds_held_out(documents, table):
     assert all(0 <= r.score <= 1 and (r.score >= 0.5) == r.predicted for r in found)
 
 
+def test_network_is_not_trained_on_the_driver(documents, table, monkeypatch):
+    rows = [(i, f"some words {'badstem' * (i % 2)} {i}", "en", "s") for i in range(40)]
+    labels = table([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    driver, train = os.getpid(), toxicity.train
+
+    def elsewhere(*sample):
+        assert os.getpid() != driver
+        return train(*sample)
+
+    monkeypatch.setattr(toxicity, "train", elsewhere)
+    assert toxicity.score_toxicity(documents(rows), labels).count() == 40
+
+
 def test_toxicity_odd_rows(documents, table):
     labels = table([(4, 1), (5, 0), (None, 1), (6, None), (99, 1), (7, 0), (7, 1)], "doc_id long, toxic int")
     assert toxicity.score_toxicity(documents(ODD), labels).count() == len(ODD)
