@@ -1,7 +1,7 @@
-import os
 """Operators on document texts against plain versions, and on odd rows."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
