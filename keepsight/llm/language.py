@@ -208,7 +208,16 @@ def _predict_task(key: str, pickled: bytes):
     return task
 
 
-def _model(docs: DataFrame, folds: int) -> Model:
+def _model_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pickled model of all rows."""
+    rows: list[tuple[str, int, str, int]] = []
+    for batch in batches:
+        rows.extend(zip(*(column.to_pylist() for column in batch.columns), strict=True))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(rows))], pa.binary())], names=["model"])
+
+
+def _model(docs: DataFrame, folds: int) -> bytes:
+    """The pickled model; one task builds it from the bounded tables, so the driver holds no row."""
     known = docs.where("lang is not null").where(remainder(F.col("doc_id"), folds) != 0)
     sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("documents")), "languages")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
@@ -224,8 +233,9 @@ def _model(docs: DataFrame, folds: int) -> Model:
     most = F.when(F.col("kind") == 0, KNOWN_WORDS).otherwise(KNOWN_GRAMS)
     ranked = counts.withColumn("rank", F.row_number().over(by_size))
     rows = ranked.where(F.col("rank") <= KNOWN_WORDS).where(F.col("rank") <= most)
-    found = rows.select("lang", "kind", "item", "n").toArrow()
-    return Model(list(zip(*(found.column(i).to_pylist() for i in range(4)), strict=True)))
+    rows = rows.select("lang", "kind", "item", "n").repartition(1)
+    found = rows.mapInArrow(_model_task, "model binary").first()
+    return bytes(found["model"]) if found else pickle.dumps(Model([]))
 
 
 def identify_language(
@@ -254,7 +264,7 @@ def identify_language(
         *([whole_row(docs)] if carry else []),
         F.col(text_column).alias("text"),
     )
-    pickled = pickle.dumps(_model(docs, folds))
+    pickled = _model(docs, folds)
     key = hashlib.blake2b(pickled, digest_size=8).hexdigest()
     docs = docs.drop("lang")
     added = T.StructType().add("lang_pred", "string").add("score", "double")

@@ -243,6 +243,19 @@ def test_language_learns_from_a_large_sample():
     assert language.SAMPLE_DOCUMENTS >= 4000
 
 
+def test_language_model_is_not_built_on_the_driver(documents, monkeypatch):
+    rows = [(i, f"some words {'und' if i % 2 else 'and'} more", "de" if i % 2 else "en", "s") for i in range(40)]
+    driver, init = os.getpid(), language.Model.__init__
+
+    def elsewhere(model, found):
+        assert os.getpid() != driver
+        init(model, found)
+
+    monkeypatch.setattr(language.Model, "__init__", elsewhere)
+    found = identify_language(documents(rows)).collect()
+    assert [r.lang_pred for r in sorted(found)] == ["en", "de"] * 20
+
+
 def test_language_odd_rows(documents):
     found = identify_language(documents(ODD)).collect()
     assert len(found) == len(ODD)
