@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +43,8 @@ EDGE = 255
 FREQUENT_WORDS = 200_000
 #: Distinct words, and distinct cells, that a counting task holds before it passes them on.
 HELD = 500_000
-#: Bytes that are counted or scored at a time.
-CHUNK_BYTES = 1_000_000
+#: Bytes that are counted or scored at a time; the arrays of a chunk take many times as much.
+CHUNK_BYTES = 250_000
 #: The end of a document as a token; no word is empty.
 END = b""
 
@@ -294,10 +294,11 @@ def _joined_logs(
 _LOGS = pa.struct([("cell", pa.int64()), ("log", pa.float64())])
 
 
-def _level_task(trie: Trie, length: int):
+def _level_task(sent: Broadcast, length: int):
     """Scored contexts (`context`, `own`, `escape`) of those counted (`context`, `counted`)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = sent.value
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -319,10 +320,11 @@ def _level_task(trie: Trie, length: int):
     return task
 
 
-def _open_task(trie: Trie):
+def _open_task(sent: Broadcast):
     """log10 probabilities (`cell`, `log`) of cells that are listed by context."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = sent.value
         for batch in batches:
             listed = batch.column("wanted")
             sizes = listed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -345,22 +347,33 @@ def _with_tables(rows: DataFrame, tables: dict[int, DataFrame]) -> DataFrame:
     return rows
 
 
-def _score_task(trie: Trie, frequent: dict[bytes, int]):
-    logs = {word: math.log10(n + 0.1) for word, n in frequent.items()}
+_RARE = pa.struct([("token", pa.binary()), ("n", pa.int64())])
+
+
+def _score_task(sent: Broadcast, frequent: Broadcast):
+    """Scores of texts; `frequent`: log10 (c + 0.1) of the frequent words."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, logs = sent.value, frequent.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for start, texts in _chunks(batch.column(2)):
-                totals, known, sums, rare = [], [], [], []
+                totals, known, sums = [], [], []
+                words: list[bytes] = []
+                times: list[int] = []
+                ends = [0]
                 for text in texts:
                     counts = Counter(text.split())
                     counts[END] = 1
                     totals.append(counts.total())
                     sums.append(math.fsum(logs[w] * n for w, n in counts.items() if w in logs))
-                    rare.append([{"token": w, "n": n} for w, n in counts.items() if w not in logs])
-                    known.append(totals[-1] - sum(x["n"] for x in rare[-1]))
+                    rare = [w for w in counts if w not in logs]
+                    words += rare
+                    times += map(counts.__getitem__, rare)
+                    known.append(totals[-1] - sum(times[ends[-1] :]))
+                    ends.append(len(words))
                 size = len(texts)
+                rest = [pa.array(words, pa.binary()), pa.array(times, pa.int64())]
                 score, open_cells = code_lengths(texts, trie)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -370,9 +383,8 @@ def _score_task(trie: Trie, frequent: dict[bytes, int]):
                         pa.array(totals, pa.int64()),
                         pa.array(known, pa.int64()),
                         pa.array(sums, pa.float64()),
-                        pa.array(
-                            rare,
-                            pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])),
+                        pa.ListArray.from_arrays(
+                            pa.array(ends, pa.int32()), pa.StructArray.from_arrays(rest, fields=list(_RARE))
                         ),
                         pa.array(score, pa.float64()),
                         open_cells,
@@ -403,9 +415,9 @@ def _least_step(rows: DataFrame, total: str, most: int) -> tuple[float, bool]:
     return least, True
 
 
-def _trie(counts: DataFrame, deep_cells: int) -> tuple[Trie, dict[int, DataFrame]]:
-    """The trie of the cells (`cell`, `n`) of the longest contexts, and for each length that it
-    does not hold whole the table of its other contexts."""
+def _trie(counts: DataFrame, deep_cells: int) -> tuple[Broadcast, dict[int, DataFrame]]:
+    """The trie of the cells (`cell`, `n`) of the longest contexts, sent to the executors, and for
+    each length that it does not hold whole the table of its other contexts."""
     levels = []
     complete = counts.groupBy(
         F.col("cell").bitwiseAND(F.lit((1 << 8 * (COMPLETE + 1)) - 1)).alias("cell")
@@ -435,20 +447,21 @@ def _trie(counts: DataFrame, deep_cells: int) -> tuple[Trie, dict[int, DataFrame
         numbers = found.column("cell").to_numpy().astype(np.uint64)
         order = np.argsort(numbers)
         levels.append((numbers[order], found.column("n").to_numpy()[order]))
-    trie, tables = Trie(levels, whole), {}
+    # One copy a worker, which its tasks share; inside a task's function each task would read its own.
+    sent, tables = counts.sparkSession.sparkContext.broadcast(Trie(levels, whole)), {}
     for length, of in others.items():
         counted = of.groupBy("context").agg(F.collect_list(F.struct("cell", "n")).alias("counted"))
         tables[length] = stored(
             _with_tables(counted, tables).mapInArrow(
-                _level_task(trie, length),
+                _level_task(sent, length),
                 "context bigint, own array<struct<cell: bigint, log: double>>, escape double",
             ),
             "contexts",
         )
-    return trie, tables
+    return sent, tables
 
 
-def _open_scores(scored: DataFrame, trie: Trie, tables: dict[int, DataFrame]) -> DataFrame:
+def _open_scores(scored: DataFrame, sent: Broadcast, tables: dict[int, DataFrame]) -> DataFrame:
     """`row` and the log10 probability of its cells that the trie did not settle."""
     listed = scored.select("row", F.explode("open").alias("x")).select("row", "x.cell", "x.n")
     wanted = (
@@ -457,7 +470,7 @@ def _open_scores(scored: DataFrame, trie: Trie, tables: dict[int, DataFrame]) ->
         .groupBy(F.shiftright("cell", 8).alias("context"))
         .agg(F.collect_list("cell").alias("wanted"))
     )
-    logs = _with_tables(wanted, tables).mapInArrow(_open_task(trie), "cell bigint, log double")
+    logs = _with_tables(wanted, tables).mapInArrow(_open_task(sent), "cell bigint, log double")
     return (
         listed.join(stored(logs, "logs"), "cell")
         .groupBy("row")
@@ -504,13 +517,14 @@ def score_documents(
     tokens, distinct = row[0], row[1]
     least, _ = _least_step(words, "n", frequent_words)
     frequent = words.where(_step("n") >= F.lit(float(least))).toArrow()
-    hot = dict(zip(*(frequent.column(c).to_pylist() for c in ("token", "n")), strict=True))
+    found = zip(*(frequent.column(c).to_pylist() for c in ("token", "n")), strict=True)
+    hot = docs.sparkSession.sparkContext.broadcast({word: math.log10(n + 0.1) for word, n in found})
     all_cells = partial.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n"))
-    trie, tables = _trie(stored(all_cells, "cells"), deep_cells)
+    sent, tables = _trie(stored(all_cells, "cells"), deep_cells)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = stored(
         docs.mapInArrow(
-            _score_task(trie, hot),
+            _score_task(sent, hot),
             f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, "
             "logs double, rare array<struct<token: binary, n: bigint>>, score double, "
             "open array<struct<cell: bigint, n: bigint>>",
@@ -530,7 +544,7 @@ def score_documents(
     per_token = math.log10(tokens + 0.1 * (distinct + 1))
     score = F.col("score")
     if tables:
-        scored = scored.join(_open_scores(scored, trie, tables), "row", "left")
+        scored = scored.join(_open_scores(scored, sent, tables), "row", "left")
         score = score + F.coalesce("more_score", F.lit(0.0))
     return scored.join(rest, "row", "left").select(
         "doc_id",

@@ -3,11 +3,14 @@
 import math
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
 from keepsight.llm import language, near_duplicates as near, packing, ppm, toxicity
 from keepsight.llm.language import identify_language
@@ -457,6 +460,26 @@ def test_language_model_whole_beyond_the_cells_sent(documents, deep_cells):
         assert math.isclose(r.score, want, rel_tol=1e-4)
 
 
+def test_tasks_of_the_language_model_do_not_hold_the_trie(spark):
+    numbers = np.arange(200_000, dtype=np.uint64)
+    sent = spark.sparkContext.broadcast(ppm.Trie([(numbers, np.ones(len(numbers)))]))
+    words = spark.sparkContext.broadcast({})
+    for task in (ppm._score_task(sent, words), ppm._level_task(sent, 3), ppm._open_task(sent)):
+        assert len(cloudpickle.dumps(task)) < 20_000
+
+
+def test_language_model_scores_texts_in_little_memory():
+    random = np.random.default_rng(4)
+    texts = pa.array(["".join(map(chr, random.integers(97, 122, 4000))) for _ in range(500)])
+    trie = ppm.Trie([(np.arange(97, 100, dtype=np.uint64), np.ones(3))])
+    tracemalloc.start()
+    for _, some in ppm._chunks(texts):
+        ppm.code_lengths(some, trie)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+
+
 def test_language_model_odd_rows(documents):
     found = ppm.score_documents(documents(ODD)).collect()
     assert len(found) == len(ODD) and all(r.score < 0 for r in found)
