@@ -1,5 +1,6 @@
 """Operators on document texts against plain versions, and on odd rows."""
 
+import json
 import math
 import os
 import re
@@ -551,6 +552,38 @@ def test_mixing_odd_rows(documents):
     assert mix_report(documents([])).count() == 0
 
 
+def test_words_of_letters_are_given_to_the_model_alone(monkeypatch):
+    encoder = WordEncoder(vocabulary_path())
+    plain, sent = encoder.tokenizer, []
+
+    class Counting:
+        def encode(self, text, **options):
+            sent.append(text)
+            return plain.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(encoder, "tokenizer", Counting())
+    text = "Straße, Éléphant! ending###\nStraße 4.5 ending, don't"
+    [ids] = encoder.encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert sorted(filter(None, sent)) == ["!", "###", ",", "4.5", "don't"]
+
+
+def test_word_encoder_of_a_vocabulary_that_keeps_case(tmp_path):
+    with open(vocabulary_path()) as file:
+        parts = json.load(file)
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps({**parts, "normalizer": None}))
+    encoder = WordEncoder(str(path))
+    text = "Straße, Éléphant! STRASSE ending"
+    [ids] = encoder.encode([text])
+    assert not encoder.direct
+    assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_word_encoder_agrees_with_the_tokenizer():
     encoder = WordEncoder(vocabulary_path())
     texts = [
