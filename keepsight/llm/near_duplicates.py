@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepsight.llm.graph import components
-from keepsight.llm.store import python_path, stored
+from keepsight.llm.store import forget, python_path, small_batches, stored
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 85
@@ -104,6 +104,7 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list]]:
 
 def _sign(size: int, symbols: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for ids, texts in _chunks(batch):
                 sets = [shingle_set(text, size) for text in texts]
@@ -128,6 +129,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 def _full_sets(size: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for _, texts in _chunks(batch):
                 sets = [shingle_set(text, size) for text in texts]
@@ -243,6 +245,7 @@ def _places(shingles: np.ndarray) -> np.ndarray:
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     counts = np.zeros(1 << COUNT_BITS, np.int64)
     for batch in batches:
         values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
@@ -255,6 +258,7 @@ def _rarest(counts: np.ndarray, percent: int):
     """The first shingles by rarity of each set: as many as a link can't be without."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 some = batch.slice(start, 200)
@@ -322,17 +326,19 @@ def near_duplicates(
     `component_id` is NULL and its rows are kept. An empty table gives no rows; other columns
     are not read.
     """
-    python_path(docs.sparkSession)
+    spark = docs.sparkSession
+    python_path(spark)
     count = bands(percent)
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = stored(
-        docs.mapInArrow(
-            _sign(size, count * BAND_SYMBOLS),
-            f"doc_id {kind}, n_shingles bigint, node binary, symbols array<int>",
-        ),
-        "signed",
-    )
+    with small_batches(spark):
+        signed = stored(
+            docs.mapInArrow(
+                _sign(size, count * BAND_SYMBOLS),
+                f"doc_id {kind}, n_shingles bigint, node binary, symbols array<int>",
+            ),
+            "signed",
+        )
     some = signed.where("n_shingles > 0")
     classes = stored(
         some.groupBy("node").agg(
@@ -346,11 +352,14 @@ def near_duplicates(
     buckets = _shared_buckets(classes, count)
     pairs = _near(_star_pairs(buckets), symbols, count)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    links = _confirmed(pairs, _sets(nodes, docs, names, size), percent)
+    with small_batches(spark):
+        sets = _sets(nodes, docs, names, size)
+    links = _confirmed(pairs, sets, percent)
     first = components(links)
     open_ = _open_classes(buckets, first)
-    sets = _sets(open_.select("node"), docs, names, size)
-    pairs = stored(_cross_pairs(open_, sets, percent).distinct(), "pairs")
+    with small_batches(spark):
+        sets = _sets(open_.select("node"), docs, names, size)
+        pairs = stored(_cross_pairs(open_, sets, percent).distinct(), "pairs")
     # The first round's components are links to their least class, so they are not formed again.
     links = first.where("node != label").toDF("a", "b").union(_confirmed(pairs, sets, percent))
     joined = components(links).join(names, "node", "right").select(

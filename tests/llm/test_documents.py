@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 
-from keepsight.llm import language, near_duplicates as near, packing, ppm, toxicity
+from keepsight.llm import language, near_duplicates as near, packing, ppm, store, toxicity
 from keepsight.llm.language import identify_language
 from keepsight.llm.mixing import mix, mix_report, targets
 from keepsight.llm.near_duplicates import near_duplicates
@@ -349,6 +349,44 @@ def test_near_duplicates_empty(documents):
     assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [(1, 1, True), (3, 3, True)]
 
 
+def test_near_duplicates_drop_what_earlier_operators_remember():
+    tasks = [near._sign(5, 24), near._full_sets(5), near._count_task, near._rarest(np.zeros(1), 85)]
+    for task in tasks:  # as in a worker that has run another operator before
+        store.remembered("tables of another operator", lambda: bytes(10))
+        list(task(iter([])))
+        assert not store._MEMORY
+
+
+def test_near_duplicates_read_few_rows_at_a_time(spark, documents, monkeypatch):
+    def watched(make):
+        def few(batches):
+            for batch in batches:
+                if batch.num_rows > 3:
+                    raise ValueError(f"{batch.num_rows} rows at a time")
+                yield batch
+
+        def made(*args):
+            task = make(*args)
+            return lambda batches: task(few(batches))
+
+        return made
+
+    monkeypatch.setattr(store, "BATCH_ROWS", 3)
+    for name in ("_sign", "_full_sets", "_rarest"):
+        monkeypatch.setattr(near, name, watched(getattr(near, name)))
+    words = [f"w{k}" for k in range(100)]
+    rows = [(i, " ".join([*words, f"end{i}"]), "en", "s") for i in range(20)]
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    found = near_duplicates(documents(rows, 1)).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 20
+    assert spark.conf.get(setting) == before
+    spark.conf.set(setting, "2")
+    with store.small_batches(spark):
+        assert spark.conf.get(setting) == "2"
+    spark.conf.set(setting, before)
+
+
 # quality
 
 
