@@ -1,7 +1,8 @@
 """Corpus pipeline: toxicity, language, near duplicates, mixing and packing of all documents.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows the stage before kept; `run` writes
-each stage's rows as Parquet into the shared folder and reads them for the next.
+each stage's rows as Parquet into the shared folder and reads them for the next. Stages that send
+whole texts to Python lower the session's Arrow batches (`limit_batches`), as they run when written.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from keepsight.llm.mixing import mix
 from keepsight.llm.near_duplicates import near_duplicates
 from keepsight.llm.packing import pack
 from keepsight.llm.queries import vocabulary_path
-from keepsight.llm.store import row_columns, stored, table
+from keepsight.llm.store import limit_batches, row_columns, stored, table
 from keepsight.llm.toxicity import score_toxicity
 
 #: Least share of the likelihood that a document's language needs.
@@ -25,12 +26,14 @@ NEAR_PERCENT = 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
+    limit_batches(spark)
     scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=True)
     return scored.where("predicted = 0").select(row_columns(docs))
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language; those without a letter go."""
+    limit_batches(spark)
     found = identify_language(docs, carry=True)
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
     return found.where(known).select(row_columns(docs))
@@ -58,6 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences."""
+    limit_batches(spark)
     return pack(docs, vocabulary_path())
 
 

@@ -45,21 +45,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int | None = None) -> Iterator[None]:
-    """Steps run meanwhile send Python at most `rows` rows at a time (`BATCH_ROWS` if None).
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def limit_batches(spark: SparkSession, rows: int | None = None) -> None:
+    """From now on send Python at most `rows` rows at a time (`BATCH_ROWS` if None).
 
     Spark's 10,000 whole texts stand several times over in an executor's memory, beside its heap.
     A setting that is smaller already holds.
     """
-    name, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", rows or BATCH_ROWS
-    before = spark.conf.get(name)
-    if not 0 < int(before) <= rows:
-        spark.conf.set(name, str(rows))
+    rows = rows or BATCH_ROWS
+    if not 0 < int(spark.conf.get(_ROWS_SETTING)) <= rows:
+        spark.conf.set(_ROWS_SETTING, str(rows))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int | None = None) -> Iterator[None]:
+    """`limit_batches` for the steps that run meanwhile; the session's setting comes back."""
+    before = spark.conf.get(_ROWS_SETTING)
+    limit_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_ROWS_SETTING, before)
 
 
 def python_path(spark: SparkSession) -> None:

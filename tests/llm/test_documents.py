@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 
+import corpus_pipeline
 from keepsight.llm import language, near_duplicates as near, packing, ppm, store, toxicity
 from keepsight.llm.language import identify_language
 from keepsight.llm.mixing import mix, mix_report, targets
@@ -387,6 +388,30 @@ def test_near_duplicates_read_few_rows_at_a_time(spark, documents, monkeypatch):
     spark.conf.set(setting, before)
 
 
+def test_pipeline_sends_python_few_rows_at_a_time(spark, monkeypatch):
+    setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(setting)
+
+    class Seen(Exception):
+        pass
+
+    def watched(*args, **options):
+        seen.append(spark.conf.get(setting))
+        raise Seen
+
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *args: None)
+    steps = {"score_toxicity": "drop_toxic", "identify_language": "drop_unknown_language", "pack": "pack_sequences"}
+    try:
+        for operator, stage in steps.items():
+            spark.conf.set(setting, "10000")
+            monkeypatch.setattr(corpus_pipeline, operator, watched)
+            with pytest.raises(Seen):
+                getattr(corpus_pipeline, stage)(spark, None, SMALL)
+    finally:
+        spark.conf.set(setting, before)
+    assert seen == [str(store.BATCH_ROWS)] * 3
+
+
 # quality
 
 
