@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keepsight.llm.store import python_path, remainder, remembered, stored, whole_row
+from keepsight.llm.store import only_value, python_path, remainder, remembered, stored, whole_row
 
 #: Documents of each language that are learnt from, about, at most.
 SAMPLE_DOCUMENTS = 4000
@@ -234,8 +234,8 @@ def _model(docs: DataFrame, folds: int) -> bytes:
     ranked = counts.withColumn("rank", F.row_number().over(by_size))
     rows = ranked.where(F.col("rank") <= KNOWN_WORDS).where(F.col("rank") <= most)
     rows = rows.select("lang", "kind", "item", "n").repartition(1)
-    found = rows.mapInArrow(_model_task, "model binary").first()
-    return bytes(found["model"]) if found else pickle.dumps(Model([]))
+    found = only_value(rows.mapInArrow(_model_task, "model binary"))
+    return pickle.dumps(Model([])) if found is None else found
 
 
 def identify_language(

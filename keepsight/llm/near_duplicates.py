@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepsight.llm.graph import components
-from keepsight.llm.store import forget, python_path, small_batches, stored
+from keepsight.llm.store import forget, python_path, release, small_batches, stored
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 85
@@ -254,6 +254,13 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["place", "n"])
 
 
+def _table(places: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Counts by place, in the narrowest type that holds them, as all tasks are sent them."""
+    counts = np.zeros(1 << COUNT_BITS, np.min_scalar_type(found.max(initial=0)))
+    counts[places] = found
+    return counts
+
+
 def _rarest(counts: np.ndarray, percent: int):
     """The first shingles by rarity of each set: as many as a link can't be without."""
 
@@ -283,8 +290,9 @@ def _cross_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a rare shingle where a link is possible."""
     counted = sets.select("shingles").mapInArrow(_count_task, "place bigint, n bigint")
     found = counted.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    counts = _table(found.column("place").to_numpy(), found.column("n").to_numpy())
+    del found
+    release()
     rows = (
         sets.mapInArrow(_rarest(counts, percent), "node binary, n int, rare array<bigint>")
         .join(open_, "node")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepsight.llm.recurrent import BUCKETS, WORD_SIZE, Network, gram_buckets, sliding_sums
-from keepsight.llm.store import python_path, remainder, remembered, whole_row
+from keepsight.llm.store import only_value, python_path, remainder, remembered, whole_row
 
 #: Documents that are sampled of each label, at most, and their characters in total.
 SAMPLE_DOCUMENTS = 2000
@@ -331,7 +331,7 @@ def _trained(docs: DataFrame, labels: DataFrame, folds: int) -> bytes | None:
         return None
     rows, weights = sample
     rows = rows.select("doc_id", "text", "toxic").repartition(1)
-    return bytes(rows.mapInArrow(_train_task(weights), "network binary").first()["network"])
+    return only_value(rows.mapInArrow(_train_task(weights), "network binary"))
 
 
 def score_toxicity(

@@ -388,6 +388,41 @@ def test_near_duplicates_read_few_rows_at_a_time(spark, documents, monkeypatch):
     spark.conf.set(setting, before)
 
 
+def test_models_come_to_the_driver_without_pickled_rows(documents, table, monkeypatch):
+    frame, schemas = type(documents([])), []
+    collect = frame.collect
+
+    def watched(self):
+        schemas.append(self.schema.simpleString())
+        return collect(self)
+
+    monkeypatch.setattr(frame, "collect", watched)
+    rows = [(i, ("vile words" if i % 2 else "kind words") + f" w{i}", "en", "s") for i in range(40)]
+    labels = table([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    scores = toxicity.score_toxicity(documents(rows), labels)
+    found = identify_language(documents(rows))
+    assert schemas and not [s for s in schemas if "binary" in s]
+    assert len({r.score for r in scores.collect()}) > 1
+    assert {r.lang_pred for r in found.collect()} == {"en"}
+
+
+def test_only_value_of_odd_tables(table):
+    big = bytes(range(256)) * 20_000
+    assert store.only_value(table([(big,)], "v binary")) == big
+    assert store.only_value(table([(None,)], "v binary")) is None
+    assert store.only_value(table([], "v binary")) is None
+
+
+def test_shingle_counts_are_sent_in_the_narrowest_type():
+    places = np.array([0, 5, (1 << near.COUNT_BITS) - 1])
+    for most in (0, 255, 256, 70_000, 2**40):
+        counts = near._table(places, np.array([1, 0, most]))
+        assert list(counts[places]) == [1, 0, most] and counts.sum() == 1 + most
+    assert not near._table(places[:0], np.empty(0, np.int64)).any()
+    sent = cloudpickle.dumps(near._rarest(near._table(places, np.array([1, 2, 60_000])), 80))
+    assert len(sent) < 2.5e6
+
+
 def test_pipeline_sends_python_few_rows_at_a_time(spark, monkeypatch):
     setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
     before = spark.conf.get(setting)
