@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keepsight.llm.store import only_value, python_path, remainder, remembered, stored, whole_row
+from keepsight.llm.store import forget, only_value, python_path, remainder, remembered, stored, whole_row
 
 #: Documents of each language that are learnt from, about, at most.
 SAMPLE_DOCUMENTS = 4000
@@ -51,6 +51,7 @@ def grams(word: str, size: int) -> list[str]:
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language, kind (0: word, else length of the n-gram) and item."""
+    forget()
     tokens: dict[str, Counter[str]] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -210,6 +211,7 @@ def _predict_task(key: str, pickled: bytes):
 
 def _model_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pickled model of all rows."""
+    forget()
     rows: list[tuple[str, int, str, int]] = []
     for batch in batches:
         rows.extend(zip(*(column.to_pylist() for column in batch.columns), strict=True))

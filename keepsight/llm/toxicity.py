@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepsight.llm.recurrent import BUCKETS, WORD_SIZE, Network, gram_buckets, sliding_sums
-from keepsight.llm.store import only_value, python_path, remainder, remembered, whole_row
+from keepsight.llm.store import forget, only_value, python_path, release, remainder, remembered, whole_row
 
 #: Documents that are sampled of each label, at most, and their characters in total.
 SAMPLE_DOCUMENTS = 2000
@@ -313,12 +313,16 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[list, np.nd
 
 def _train_task(weights: tuple[float, float]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         columns: tuple[list, ...] = ([], [], [])
         for batch in batches:
             for values, more in zip(columns, batch.columns, strict=True):
                 values.extend(more.to_pylist())
         if columns[0]:
             network = pickle.dumps(train(*_in_order(*columns), weights))
+            # The worker goes on to score.
+            del columns
+            release()
             yield pa.RecordBatch.from_arrays([pa.array([network], pa.binary())], names=["network"])
 
     return task
